@@ -30,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all task slots when its input has fewer splits than that (a small or badly cut file);
+    a larger input is left alone, so nothing is shuffled at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def cents(amount: Column) -> Column:
     return amount.cast("decimal(10,2)")
 
@@ -39,7 +46,7 @@ def cents(amount: Column) -> Column:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text record per order line, with :data:`ORDER` and ``l_orderkey`` alongside."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *ORDER))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     order, line, flag = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")
     price = cents(F.when(F.col("l_discount") > 0.05, F.col("l_extendedprice")).otherwise(F.col("p_retailprice")))

@@ -30,14 +30,10 @@ def scan(documents: DataFrame) -> DataFrame:
 
 def classify(elements: DataFrame) -> DataFrame:
     """Typed catalogue columns plus ``motivo``; fields that are not listed are dropped."""
-    kind = F.schema_of_variant(F.try_parse_json("elemento"))
-    is_object = F.coalesce(F.startswith(kind, F.lit("OBJECT")), F.lit(False))
+    is_object = F.coalesce(F.startswith(F.ltrim("elemento"), F.lit("{")), F.lit(False))
     fields = F.from_json("elemento", ", ".join(f"{name} string" for name in FIELDS))
     opened = elements.select(
-        *POSITION,
-        is_object.alias("_objeto"),
-        F.contains(kind, F.lit("precio: STRING")).alias("_precio_texto"),
-        F.when(is_object, fields).alias("_f"),
+        *POSITION, "elemento", is_object.alias("_objeto"), F.when(is_object, fields).alias("_f")
     )
     text = {name: F.col(f"_t_{name}") for name in FIELDS}
     raw_price = F.col("_f.precio")
@@ -47,7 +43,8 @@ def classify(elements: DataFrame) -> DataFrame:
         c.amount_text(c.stripped(raw_price)).alias("_monto"),
     ).select("*", c.positive_int(text["id"]).alias("_v_id"), c.money(F.col("_monto")).alias("_v_precio"))
     # Numbers appear in reasons as they are, text in quotes.
-    shown = F.when(F.col("_precio_texto"), c.quoted(raw_price)).otherwise(raw_price)
+    is_text = F.contains(F.schema_of_variant(F.try_parse_json("elemento")), F.lit("precio: STRING"))
+    shown = F.when(is_text, c.quoted(raw_price)).otherwise(raw_price)
     reason = F.coalesce(
         F.when(~F.col("_objeto"), F.lit("el producto no es un objeto")),
         c.positive_int_error(text["id"], "id"),
@@ -57,17 +54,16 @@ def classify(elements: DataFrame) -> DataFrame:
         c.text_error(text["precio"], "precio"),
         c.money_error(F.col("_monto"), "precio", shown),
     )
-    # A good element whose number does not fit its column stops the load.
     good = (F.col("_v_id") > 0) & (F.col("_v_precio") > 0)
-    judged = typed.withColumn("motivo", reason).withColumn(
-        "motivo", F.when(F.col("motivo").isNull() & ~F.coalesce(good, F.lit(False)), c.must_fit(F.col("motivo"), F.to_json("_f")))
-        .otherwise(F.col("motivo"))
-    )
+    for name in ("nombre", "marca", "tipo"):
+        good = good & ~c.is_blank(text[name])
+    # An element that has a value missing but nothing wrong holds a number that does not fit its column.
+    flaw = F.when(~F.coalesce(good, F.lit(False)), c.must_fit(reason, F.col("elemento")))
     values = {
         "producto_id": F.col("_v_id"), "nombre": text["nombre"], "marca": text["marca"], "tipo": text["tipo"],
         "precio": F.col("_v_precio"),
     }
-    judged = evaluated_once(judged.select("motivo", *POSITION, *[v.alias(n) for n, v in values.items()]))
+    judged = evaluated_once(typed.select(flaw.alias("motivo"), *POSITION, *[v.alias(n) for n, v in values.items()]))
     kept = F.col("motivo").isNull()
     return judged.select(
         *POSITION, *[F.when(kept, F.col(name)).alias(name) for name in values], "motivo"

@@ -38,8 +38,21 @@ def rows_of(columns, rows):
     return sorted(columns), Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, connection, sql: str) -> list[str]:
+    """Columns whose types differ."""
+    theirs = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    ours = {name: DUCK_TYPES.get(kind, kind.upper()) for name, kind in df.dtypes}
+    return [f"{n}: {kind} / {theirs.get(n)}" for n, kind in ours.items() if kind != theirs.get(n, "")]
+
+
 def difference(df, connection, sql: str) -> str | None:
     """None when equal, else what differs."""
+    types = type_differences(df, connection, sql)
+    if types:
+        return f"types {types}"
     cursor = connection.execute(sql)
     names = [column[0] for column in cursor.description]
     expected_names, expected = rows_of(names, cursor.fetchall())

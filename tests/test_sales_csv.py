@@ -97,7 +97,7 @@ def test_header_only_file_loads_nothing(land):
 
 def test_column_order_extra_columns_bom_and_line_ends(land):
     rows, rejects, _ = loaded(land(
-        "﻿canal,folio,nota,cantidad,precio_unitario,producto_id,fecha\r\n"
+        "\ufeffcanal,folio,nota,cantidad,precio_unitario,producto_id,fecha\r\n"
         "tienda,A-1,x,2,10.5,3,2026-07-01,extra,fields\r\n"
         "\r\n"
         "   \r\n"
@@ -176,7 +176,7 @@ def test_records_are_the_same_however_the_file_is_split(spark, land):
 
 
 def test_landing_accounts_for_every_byte(spark, land, tmp_path):
-    land("﻿" + HEADER + "A\r\nB", HEADER + "x\n\ny\n")
+    land("\ufeff" + HEADER + "A\r\nB", HEADER + "x\n\ny\n")
     folder = next((tmp_path / "crudo" / "ventas").iterdir())
     lines = landing.landed_lines(spark, str(folder))
     check = landing.line_copy_check(lines, landing.landed_files(spark, str(folder))).orderBy("archivo_no").collect()
