@@ -27,7 +27,7 @@ INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 ABOVE_ZERO = r"^\+?[0_.]*[1-9]"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 NOT_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
-ISO_DAY = r"^[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])$"
+ISO_DAY = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])$"
 SLASH_DAY = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 
 
