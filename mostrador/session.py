@@ -56,6 +56,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for ``input_bytes`` of new rows and as much of stored ones.
+
+    About 128 MB each, so that a partition sorts in executor memory; AQE joins those that turn out smaller.
+    Beyond MAX_SHUFFLE_PARTITIONS partitions grow (and spill) instead, as ever smaller shuffle blocks would cost
+    more. Never lowers what the session asks for. Returns the number.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    asked = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(asked, min(-(-2 * input_bytes // (128 << 20)), MAX_SHUFFLE_PARTITIONS))
+    if wanted > asked:
+        spark.conf.set(key, str(wanted))
+    return wanted
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (a file, folder or glob) matches anything on its file system."""
     jvm = spark.sparkContext._jvm
