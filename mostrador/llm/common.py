@@ -80,6 +80,13 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = 16 << 20) -> Iterator[
         start = end
 
 
+def spread(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs flat[begin : begin + size] one after another."""
+    ends = np.cumsum(sizes)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
+    return flat[at + np.repeat(begins - (ends - sizes), sizes)]
+
+
 def hex64(column: Column) -> Column:
     """A long as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(column)), 16, "0")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mostrador.llm.common import blocks, written
+from mostrador.llm.common import blocks, spread, written
 
 LENGTH = 4096
 END_ID = 2
@@ -135,20 +135,13 @@ class WordEncoder:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
         index = coded.indices.to_numpy(zero_copy_only=False)
-        out, counts = spread(flat, begins[index], sizes[index])
+        out, counts = spread(flat, begins[index], sizes[index]), sizes[index]
         ends = np.concatenate([[0], np.cumsum(counts)])
         offsets = lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
         return out, ends[offsets[1:]] - ends[offsets[:-1]]
 
 
-def spread(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs flat[begin : begin + size] one after another, and their sizes."""
-    ends = np.cumsum(sizes)
-    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
-    return flat[at + np.repeat(begins - (ends - sizes), sizes)], sizes
-
-
 @cache
 def word_encoder(tokenizer_path: str) -> WordEncoder:
     """One for a Python worker, so that its tasks share what it remembers."""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import langid, packing, simhash, toxicity
-from mostrador.llm.common import documents, id_remainder
+from mostrador.llm import bpe, fingerprint, langid, lmscore, packing, quality, simhash, substring, toxicity, urlfilter
+from mostrador.llm.common import SPACE_CLASS, documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,98 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.deduplicate(documents(spark, sf_dir).select("doc_id", "text"))
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_CLASS + "+", " "))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+ORACLES["op10_substring"] = r"""
+WITH docs AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), windows AS (
+    SELECT doc_id, at, md5(array_to_string(w[at:at + 49], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS at FROM docs WHERE len(w) >= 50)
+), firsts AS (
+    SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS word FROM windows JOIN firsts USING (h) WHERE first_id < doc_id
+), lists AS (
+    SELECT doc_id, list(word) AS words, count(*) AS n FROM gone GROUP BY doc_id
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM docs
+), kept AS (
+    SELECT words.doc_id, string_agg(words.word, ' ' ORDER BY words.at) AS kept
+    FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.at = gone.word GROUP BY words.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    judged = urlfilter.judge(pages, urlfilter.SITES + urlfilter.PATTERNS)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+_SITE_CASES = "\n".join(
+    f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}'"
+    for h, p in (("www.example.com", "/en/"), ("example.com", "/en/"), ("net", "/es/"), ("net", "/fr/"), ("com", "/"))
+)
+_PATTERN_CASES = "\n".join(
+    f"WHEN regexp_matches(lower(host || path), '(^|[^a-z0-9]){rule.name.replace('-', '[^a-z0-9]')}([^a-z0-9]|$)') THEN '{rule.name}'"
+    for rule in sorted(urlfilter.PATTERNS, key=lambda r: (-len(r.name), r.name))
+)
+ORACLES["op7_url_filter"] = f"""
+WITH parts AS (
+    SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
+           regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE {_SITE_CASES} END AS rule FROM parts
+), judged AS (
+    SELECT *, CASE WHEN rule IS NULL THEN CASE {_PATTERN_CASES} END END AS pattern FROM ruled
+)
+SELECT page_id, host, path, rule, pattern,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    judged = quality.judge(documents(spark, sf_dir), labels)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules"
+    )
+
+
+@query
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.compare_edits(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint.shown(F.col("fingerprint")).alias("fingerprint"),
+        fingerprint.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep=["doc_id"])
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(coded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lmscore.score(docs, lmscore.train(docs), keep=["doc_id"])

@@ -1,0 +1,55 @@
+import base64
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import public_tokenizers
+from mostrador.llm import bpe
+from tests.llm.helpers import ODD, corpus, frame
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_are_the_library_s_and_decode_to_the_text(spark, library):
+    texts = corpus()[0] + ODD + ["a \n b", " lead", "trail ", "x  y", "a  b", "aaaa aaaaaaa", "\x1c \x1d", "I'm 'tis"]
+    docs = frame(spark, texts).repartition(3).withColumnsRenamed({"source": "ids", "lang": "decoded"})
+    rows = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN, keep=["doc_id"]), PATH).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r["doc_id"]] or ""
+        assert r["ids"] == library.encode_ordinary(text)
+        assert bytes(r["decoded"]) == text.encode()
+
+
+def test_empty_table(spark):
+    assert bpe.decode(bpe.encode(frame(spark, []), PATH, public_tokenizers.PATTERN), PATH).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'aeéthinger.!1"), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=6))
+def test_any_text(texts):
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    library = _LIBRARY.setdefault("x", tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
+    found = bpe.encoder(PATH, public_tokenizers.PATTERN).encode(pa.array(texts, pa.string())).to_pylist()
+    assert found == [library.encode_ordinary(t) for t in texts]
+
+
+_LIBRARY = {}
+
+
+def test_replay_agrees_with_one_word_at_a_time():
+    ranks = bpe.ranks_of(PATH)
+    words = [w.encode() for t in corpus()[0] for w in t.split()] + [b"a" * n for n in range(1, 40)] + [bytes(range(256))]
+    assert [np.frombuffer(x, "<i4").tolist() for x in bpe.replay(ranks, words)] == [ranks.alone(w) for w in words]
