@@ -36,7 +36,11 @@ def _big(value: int) -> Column:
 
 def hashes(text: Column) -> list[Column]:
     """For each seed the array of the paragraphs' hashes."""
-    return [F.transform(F.split(text, PARAGRAPH), lambda p, seed=seed: F.xxhash64(F.lit(seed), p)) for seed in SEEDS]
+
+    def under(seed: int) -> Column:
+        return F.transform(F.split(text, PARAGRAPH), lambda p: F.xxhash64(F.lit(seed), p))
+
+    return [under(seed) for seed in SEEDS]
 
 
 def vector(hashed: list[str]) -> Column:

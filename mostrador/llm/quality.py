@@ -2,9 +2,10 @@
 
 Base counts give a few ratios per document. Each ratio is a rule: a document above the rule's cutoff is rejected. The cutoffs
 come from labelled documents: for every stratum, rule and candidate cutoff the share of good documents that would be
-rejected is bounded from above exactly (binomial tail, Clopper-Pearson), at a confidence that is divided by the number of
-all these tests (Bonferroni). The lowest cutoff whose bound is within the rule's part of the risk is taken; where no cutoff can
-be certified the rule stays off. So with probability ``1 - DELTA`` at most ``RISK`` of the good documents of any stratum
+rejected is bounded from above exactly (binomial tail, Clopper-Pearson). The level is divided by the number of strata and
+rules (Bonferroni); a rule's cutoffs are tested in a fixed order, from the highest down to the first that fails, which
+needs no further division. The lowest cutoff certified within the rule's part of the risk is taken; where none is, the rule
+stays off. So with probability ``1 - DELTA`` at most ``RISK`` of the good documents of any stratum
 are rejected, whatever the labels' number is.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from mostrador.llm.common import SPACE_CLASS, written
 
-RISK = 0.01
+RISK = 0.02
 DELTA = 0.05
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
@@ -26,18 +27,20 @@ CUTOFFS = [0.01, 0.02, 0.03, 0.05, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _ratio(part: str, whole: str) -> Column:
-    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
-
-
+#: The ratios: part and whole.
 RULES = {
-    "symbols": _ratio("n_symbols", "word_chars"),
-    "duplicate_lines": _ratio("n_dup_lines", "n_lines"),
-    "repeated_words": _ratio("n_repeat_words", "n_words"),
-    "shouting": _ratio("n_shouts", "n_words"),
+    "symbols": ("n_symbols", "word_chars"),
+    "duplicate_lines": ("n_dup_lines", "n_lines"),
+    "repeated_words": ("n_repeat_words", "n_words"),
+    "shouting": ("n_shouts", "n_words"),
 }
 
 
+def ratio(rule: str) -> Column:
+    part, whole = map(F.col, RULES[rule])
+    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+
+
 def measure(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default all) with the base counts, n_lines and n_shouts (words that end in ``!``), all long.
 
@@ -119,14 +122,14 @@ def thresholds(measured: DataFrame, labels: DataFrame, stratum: str, id_col: str
     """
     good = labels.groupBy(F.col(id_col).alias("label_id")).agg(F.min("quality").alias("quality")).where("quality = 1")
     held = measured.where(~base_failed()).join(good, F.col(id_col) == F.col("label_id")).select(
-        F.col(stratum).alias("at"), *[expr.alias(name) for name, expr in RULES.items()]
+        F.col(stratum).alias("at"), *[ratio(name).alias(name) for name in RULES]
     )
     over = [F.count_if(F.col(name) > c).alias(f"{name} {n}") for name in RULES for n, c in enumerate(CUTOFFS)]
     counted = held.groupBy("at").agg(F.count("*").alias("good"), *over)
     counted = written(counted, "quality-holdout")
     strata = max(1, counted.count())
     share = risk / len(RULES)
-    level = F.lit(delta / (strata * len(RULES) * len(CUTOFFS)))
+    level = F.lit(delta / (strata * len(RULES)))
     picked = [
         F.array_min(F.array(*[F.when(tail(F.col(f"{name} {n}"), F.col("good"), share) <= level, F.lit(c)) for n, c in enumerate(CUTOFFS)])).alias(f"cut {name}")
         for name in RULES
@@ -148,7 +151,7 @@ def judge(
     # One row per stratum: joined by broadcast while under the session's threshold, else by shuffle.
     joined = measured.join(cuts, measured[stratum].eqNullSafe(cuts["at"]), "left")
     failed = F.filter(
-        F.array(*[F.when(expr > F.col(f"cut {name}"), F.lit(name)) for name, expr in RULES.items()]), lambda x: x.isNotNull()
+        F.array(*[F.when(ratio(name) > F.col(f"cut {name}"), F.lit(name)) for name in RULES]), lambda x: x.isNotNull()
     )
     out = joined.select(*measured.columns, base_failed().alias("base_failed"), failed.alias("failed_rules"))
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))

@@ -108,7 +108,7 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", url_col:
     fetched = F.concat(F.flatten(F.transform(hits, lambda t: F.element_at(table, t))), numbers(always))
     found = parts.select("*", F.array_sort(F.array_distinct(fetched)).alias("own candidates"), target.alias("own target"))
     # Rules are numbered by rank, so the first candidate that matches decides.
-    match = F.filter("own candidates", lambda n: F.col("own target").rlike(F.get(patterns, n)))
+    match = F.filter("own candidates", lambda n: F.rlike(F.col("own target"), F.get(patterns, n)))
     first = found.select("*", F.get(match, F.lit(0)).alias("own n"))
 
     def of(values: list[str | None]) -> Column:
