@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import blocks, spread
+from mostrador.llm.common import blocks, own_copy, spread
 
 #: Chunks and words whose ids a Python worker remembers, and the length over which they are not kept; bounds its memory.
 KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 400_000, 600_000, 64
@@ -163,7 +163,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """Lists of ids. Null counts as empty."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = own_copy(texts)
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         if len(self.chunks) > KEPT_CHUNKS:

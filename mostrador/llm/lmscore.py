@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import blocks
+from mostrador.llm.common import blocks, own_copy
 
 BUCKETS = 1 << 15
 INPUTS = 2048
@@ -43,7 +43,7 @@ REMEMBERED = 500_000
 def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets (1 to BUCKETS) of the words of all texts one after another, and each text's number of words. Words are
     what white space parts, in lower case. Null counts as empty."""
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(own_copy(texts)))
     coded = pc.dictionary_encode(lists.flatten())
     names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     if len(known) > REMEMBERED:

@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mostrador.llm.common import blocks, spread, written
+from mostrador.llm.common import blocks, own_copy, spread, written
 
 LENGTH = 4096
 END_ID = 2
 #: Words whose ids a Python worker remembers. Bounds its memory; forgotten words are encoded again.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 
 
 class WordEncoder:
@@ -122,7 +122,7 @@ class WordEncoder:
         """Ids of all texts one after another, and how many each text has. Null counts as empty."""
         if len(self.known) > REMEMBERED:
             self.known = {}
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = own_copy(texts)
         if not pc.any(pc.match_substring_regex(texts, "[\\x{300}-\\x{36F}]")).as_py():
             texts = pc.ascii_lower(texts)  # no mark follows a letter, so this changes no id
         # Cut at ASCII white space only: other white space the tokenizer finds within a word.
@@ -165,7 +165,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at, part = word_encoder(tokenizer_path), 0, TaskContext.get().partitionId()
         for whole in batches:
-            for batch in blocks(whole, "t"):
+            for batch in blocks(whole, "t", 4 << 20):
                 flat, own = encoder.encode(batch.column("t"))
                 ends = np.cumsum(own)
                 ids = [flat[e - n : e].tobytes() + end for e, n in zip(ends.tolist(), own.tolist(), strict=True)]

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -59,3 +60,10 @@ def test_crc_is_of_the_ids(spark):
 
     row = packing.pack(frame(spark, ["one two"]), PATH).withColumn("c", F.crc32("ids")).first()
     assert row["c"] == zlib.crc32(bytes(row["ids"]))
+
+
+def test_slices_of_a_batch_are_encoded_like_the_whole():
+    texts = pa.array(corpus()[0], pa.string())
+    coder = packing.WordEncoder(PATH)
+    ids, sizes = coder.encode(texts)
+    assert coder.encode(texts.slice(20, 9))[0].tolist() == ids[sizes[:20].sum() : sizes[:29].sum()].tolist()
