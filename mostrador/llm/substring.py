@@ -4,11 +4,11 @@ The reference is the corpus itself, cut at content-defined anchors: of each wind
 least hash (winnowing), so that documents which share a window share one of its anchors, wherever they have it. The
 index holds the anchors of all documents; those that two documents share open a block to parsing. Documents are then
 parsed against the blocks: a factor begins at a window of ``LEAST`` words that also starts in an earlier document, and
-grows word by word as long as the next window does. Windows are identified by 128-bit hashes and met by a shuffle on
+grows word by word as long as the next window does. Windows are identified by 81 bits of hash and met by a shuffle on
 these, so a factor may go on from one reference document to the next, and at every factor's boundaries just those
 windows count that one earlier document has as a whole. Factors become spans of duplicate words.
 
-Nothing is paired: a passage that thousands of documents have costs a row for each of its windows and documents at most,
+A text that an earlier document has as a whole is one factor and needs no parsing. Nothing is paired: a passage that thousands of documents have costs a row for each of its windows and documents at most,
 and of the equal windows in one block of documents only the earliest is shuffled (the others are settled there).
 """
 
@@ -27,6 +27,8 @@ from mostrador.llm.common import WORD, blocks, written
 
 LEAST = 50
 GRAM = 16
+#: End of a factor that is a whole text.
+WHOLE = (1 << 31) - 1
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -108,20 +110,19 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([docs.schema["id"], T.StructField("anchor", T.LongType())]))
 
 
-_WINDOWS = "h1 long, h2 long, id {0}, first int, last int"
+#: A window's row: h1 is 64 bits of its hash; the top 17 bits of ``rest`` are more of it, then 16 that tell rows with one
+#: id apart (from the text's hash), then the place of its first word. Settled spans have no h1.
+_WINDOWS = "h1 long, rest long, id {0}, last int"
+_TAG_AT, _HASH_AT = 31, 47
 
 
-def _parse_block(ids: pa.Array, texts: list[bytes], opened: list) -> pa.RecordBatch:
+def _parse_block(ids: pa.Array, tags: np.ndarray, texts: list[bytes], opened: list) -> pa.RecordBatch | None:
     """Windows of the opened blocks. Of windows that are equal in this set of documents the one with the least id goes on
-    with its hash; the others have an earlier document, and go on as settled spans (no hash) of words."""
+    with its hash; the others have an earlier document, and go on as settled spans of words."""
     hashes, sizes = _word_hashes(texts)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    empty = pa.RecordBatch.from_arrays(
-        [pa.array([], pa.int64()), pa.array([], pa.int64()), ids.slice(0, 0), pa.array([], pa.int32()), pa.array([], pa.int32())],
-        ["h1", "h2", "id", "first", "last"],
-    )
     if len(hashes) < LEAST:
-        return empty
+        return None
+    owner = np.repeat(np.arange(len(texts)), sizes)
     grams, span = _rolling(hashes, GRAM, _MULTIPLIERS[0]), LEAST - GRAM + 1
     hit = np.zeros(len(grams), bool)
     starts = np.cumsum(sizes) - sizes
@@ -130,53 +131,88 @@ def _parse_block(ids: pa.Array, texts: list[bytes], opened: list) -> pa.RecordBa
         if n > 0 and len(own):
             hit[start : start + n] = np.isin(grams[start : start + n], own)
     hit &= _inside(owner, GRAM)
-    window = _sliding(hit, span, np.logical_or) & _inside(owner, LEAST)
-    at = np.flatnonzero(window)
+    at = np.flatnonzero(_sliding(hit, span, np.logical_or) & _inside(owner, LEAST))
     if not len(at):
-        return empty
+        return None
     h1, h2 = (_rolling(hashes, LEAST, m)[at] for m in _MULTIPLIERS)
+    h2 >>= np.uint64(_HASH_AT)
     doc = owner[at]
-    rank = np.argsort(np.argsort(np.array(ids.to_pylist()), kind="stable"), kind="stable")
+    names = np.array(ids.to_pylist())
+    rank = np.unique(names, return_inverse=True)[1]
     order = np.lexsort((at, rank[doc], h2, h1))
-    s1, s2 = h1[order], h2[order]
-    fresh = np.append(True, (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1]))
-    group = np.cumsum(fresh) - 1
-    plain = np.array(ids.to_pylist())[doc[order]]
-    least = plain[np.flatnonzero(fresh)][group]
-    settled = np.sort(order[plain > least])
-    going = order[fresh]  # one row of each window; further starts in the least document follow as plain rows below
-    again = order[(plain == least) & ~fresh]
-    runs = np.flatnonzero(np.append(True, (at[settled][1:] != at[settled][:-1] + 1) | (doc[settled][1:] != doc[settled][:-1]))) if len(settled) else np.zeros(0, np.int64)
-    ends = np.append(runs[1:], len(settled)) - 1 if len(settled) else runs
-    hashed = np.concatenate([going, again])
-    where = np.concatenate([hashed, settled[runs]])
-    begin = at[where] - starts[doc[where]]
-    end = np.concatenate([begin[: len(hashed)], at[settled[ends]] - starts[doc[settled[ends]]]]) + LEAST
-    some = np.concatenate([np.zeros(len(hashed), bool), np.ones(len(runs), bool)])
+    fresh = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
+    ranked = rank[doc[order]]
+    later = ranked > ranked[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    going, settled = order[~later], np.sort(order[later])
+    # Settled windows one after another in one document become one span.
+    new = np.append(True, (np.diff(at[settled]) != 1) | (np.diff(doc[settled]) != 0))[: len(settled)]
+    runs = np.flatnonzero(new)
+    ends = np.append(runs[1:], len(settled))[: len(runs)] - 1
+    where = np.concatenate([going, settled[runs]])
+    first = at[where] - starts[doc[where]]
+    last = at[settled[ends]] - starts[doc[settled[ends]]] + LEAST
+    rest = (h2[where] << np.uint64(_HASH_AT)) | (tags[doc[where]].astype(np.uint64) << np.uint64(_TAG_AT)) | first.astype(np.uint64)
+    plain = np.arange(len(where)) >= len(going)
+    ends_of = np.concatenate([np.zeros(len(going), np.int32), last.astype(np.int32)])
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(h1[where].view(np.int64), mask=some), pa.array(h2[where].view(np.int64), mask=some), ids.take(pa.array(doc[where])),
-            pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)),
-        ],
-        ["h1", "h2", "id", "first", "last"],
+        [pa.array(h1[where].view(np.int64), mask=plain), pa.array(rest.view(np.int64)), ids.take(pa.array(doc[where])), pa.array(ends_of, mask=~plain)],
+        ["h1", "rest", "id", "last"],
     )
 
 
+def _shared(found: DataFrame) -> DataFrame:
+    """The rows (id, anchor) whose anchor two documents have at least. One shuffle; a task keeps one row in mind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # the last row, and whether its anchor was met with another id before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = batch if kept is None else pa.concat_batches([kept[0], batch])
+            anchor, ids = whole.column("anchor").to_numpy(), np.array(whole.column("id").to_pylist())
+            same = anchor[1:] == anchor[:-1]
+            group = np.cumsum(np.append(0, ~same))
+            several = np.zeros(group[-1] + 1, bool)
+            several[group[1:][same & (ids[1:] != ids[:-1])]] = True
+            if kept is not None and kept[1]:
+                several[0] = True
+            # The last row waits for what follows, unless it is known to be shared; rows before it with the same anchor
+            # and id are the same row again.
+            out = several[group]
+            out[-1] = False
+            if kept is not None and kept[1]:
+                out[0] = False
+            kept = (whole.slice(len(anchor) - 1, 1), bool(several[-1]))
+            if kept[1]:
+                out[-1] = True
+            yield whole.take(pa.array(np.flatnonzero(out)))
+
+    return found.repartition("anchor").sortWithinPartitions("anchor", "id").mapInArrow(run, found.schema)
+
+
 def spans(docs: DataFrame) -> DataFrame:
-    """(id, first, last): words ``first`` to ``last`` - 1 of documents (id, text) are in a factor. Spans may overlap."""
+    """(id, tag, first, last): words ``first`` to ``last`` - 1 of documents (id, tag, text) are in a factor. Spans may
+    overlap. A text that a smaller id has as a whole is one factor, without end."""
     kind = docs.schema["id"].dataType.simpleString()
+    whole = docs.select("id", "tag", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"))
+    first = whole.groupBy("a", "b").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    copies = written(whole.join(first, ["a", "b"]).where("id > least").select("id", "tag").distinct(), "rlz-copies")
+
     found = written(anchors(docs), "rlz-anchors")
-    shared = found.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor")
-    # An anchor list is as long as its document's text at most.
-    opened = found.join(shared, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("opened"))
+    # An anchor list is as long as its document's text at most. Copies need no parsing, and are no one's earliest document.
+    opened = _shared(found).groupBy("id").agg(F.collect_list("anchor").alias("opened"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole, "text", 8 << 20):
                 own = [np.array(a, np.int64).view(np.uint64) for a in batch.column("opened").to_pylist()]
-                yield _parse_block(batch.column("id"), [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], own)
+                texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                done = _parse_block(batch.column("id"), batch.column("tag").to_numpy(), texts, own)
+                if done is not None:
+                    yield done
 
-    windows = docs.join(opened, "id").select("id", "text", "opened").mapInArrow(parse, _WINDOWS.format(kind))
+    parsed = docs.join(opened, "id").join(copies, ["id", "tag"], "left_anti").select("id", "tag", "text", "opened")
+    windows = parsed.mapInArrow(parse, _WINDOWS.format(kind))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by hash and id: the first of a hash is in its earliest document."""
@@ -185,31 +221,35 @@ def spans(docs: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             settled = batch.column("h1").is_null().to_numpy(zero_copy_only=False)
-            h1, h2 = (batch.column(c).fill_null(0).to_numpy() for c in ("h1", "h2"))
+            h1, rest = batch.column("h1").fill_null(0).to_numpy(), batch.column("rest").to_numpy().view(np.uint64)
+            h2 = rest >> np.uint64(_HASH_AT)
             ids = np.array(batch.column("id").to_pylist())
             fresh = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (settled[1:] != settled[:-1]))
             fresh[0] = last_key != (h1[0], h2[0], settled[0])
-            firsts = np.where(fresh, np.arange(len(ids)), 0)
-            np.maximum.accumulate(firsts, out=firsts)
-            least = ids[firsts]
+            least = ids[np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))]
             if not fresh[0]:
-                head = int(np.argmax(fresh)) if fresh.any() else len(ids)
-                least[:head] = last_id
+                least[: int(np.argmax(fresh)) if fresh.any() else len(ids)] = last_id
             last_key, last_id = (h1[-1], h2[-1], settled[-1]), least[-1]
             keep = np.flatnonzero(settled | (ids > least))
-            yield batch.take(pa.array(keep)).select(["id", "first", "last"])
+            begin = (rest[keep] & np.uint64((1 << _TAG_AT) - 1)).astype(np.int32)
+            tag = ((rest[keep] >> np.uint64(_TAG_AT)) & np.uint64(0xFFFF)).astype(np.int32)
+            end = np.where(settled[keep], batch.column("last").fill_null(0).to_numpy()[keep], begin + LEAST).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(keep)), pa.array(tag), pa.array(begin), pa.array(end)], ["id", "tag", "first", "last"])
 
     # Settled spans have no hash; dealt by document they spread, and sort before the hashed windows.
-    dealt = F.when(F.col("h1").isNull(), F.xxhash64("id", "first")).otherwise(F.col("h1"))
-    return windows.repartition(dealt).sortWithinPartitions("h1", "h2", "id").mapInArrow(judge, f"id {kind}, first int, last int")
+    dealt = F.coalesce("h1", F.xxhash64("id", "rest"))
+    ordered = windows.repartition(dealt).sortWithinPartitions("h1", F.shiftrightunsigned("rest", _HASH_AT), "id")
+    judged = ordered.mapInArrow(judge, f"id {kind}, tag int, first int, last int")
+    return judged.unionByName(copies.select("id", "tag", F.lit(0).alias("first"), F.lit(WHOLE).alias("last")))
 
 
 def _cut(text: bytes, words: int, pieces: list[tuple[int, int]]) -> tuple[int, bytes]:
     """Number of words removed, and the text without them (and without the white space behind each)."""
     gone = np.zeros(words + 1, np.int64)
     for first, last in pieces:
-        gone[first] += 1
-        gone[last] -= 1
+        if words >= LEAST:  # a whole text may be shorter than a factor must be
+            gone[first] += 1
+            gone[min(last, words)] -= 1
     gone = np.cumsum(gone[:-1]) > 0
     out, at = [], 0
     begins = [m.start() for m in WORD.finditer(text)] + [len(text)]
@@ -226,16 +266,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A word goes if it is in a window of LEAST words that also starts in a document with a smaller id, both as they came
     in. Words are runs without space and U+0009 to U+000D; the white space between words that stay is left as it is. Null
     text stays null, with no words; texts under LEAST words stay. Of equal texts that with the smallest id stays whole; rows with one
-    id are parts of one document to each other, so repeated rows lose the same words and not one another's. Rows without
+    id are parts of one document to each other, so repeated rows lose the same words and none another's. Rows without
     id stay as they are and are no reference. An empty table stays empty. Columns named n_words or n_removed are replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    found = spans(source).groupBy("id").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("pieces"))
+    tag = F.xxhash64(F.col(f"`{text_col}`")).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    source = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    found = spans(source).groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("pieces"))
     inside = [f"k{i}" for i in range(len(kept))]
     at = inside[kept.index(text_col)]
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)])
-    rows = rows.join(found, rows[inside[kept.index(id_col)]] == found["id"], "left").select(*inside, "pieces")
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)], tag.alias("of row"))
+    rows = rows.join(found, (rows[inside[kept.index(id_col)]] == found["id"]) & (F.col("of row") == found["tag"]), "left").select(*inside, "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

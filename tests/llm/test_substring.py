@@ -26,7 +26,7 @@ def check(spark, texts, extra=()):
     rows = [*enumerate(texts), *extra]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     found = sorted(((r["doc_id"], (r["text"] or "").encode().split(), r["n_removed"], r["n_words"]) for r in substring.deduplicate(docs).collect()))
-    assert found == sorted((i, k, n, len((dict([(i, t)])[i] or "").encode().split())) for (i, t), (_, k, n) in zip(rows, expected(rows)))
+    assert found == sorted((i, k, n, len((t or "").encode().split())) for (i, t), (_, k, n) in zip(rows, expected(rows)))
     return found
 
 
@@ -54,6 +54,11 @@ def test_repeated_rows_lose_the_same_words_and_not_each_other_s(spark):
     check(spark, texts, [(i, texts[i]) for i in range(0, 60, 7)])
 
 
+def test_rows_with_one_id_and_other_texts(spark):
+    texts = planted()
+    check(spark, texts, [(i + 1, texts[i]) for i in range(0, 58, 5)] + [(3, texts[40] + " more")])
+
+
 def test_repetitive_texts(spark):
     check(spark, ["a " * 400, "a " * 49, "a " * 50 + "b", "b " * 30 + "a " * 60, "x " * 30_000])
 
@@ -71,3 +76,18 @@ def test_empty_table_and_missing_ids(spark):
     text = " ".join(map(str, range(70)))
     rows = spark.createDataFrame([(None, text), (None, text), (4, text)], "doc_id long, text string")
     assert {r["n_removed"] for r in substring.deduplicate(rows).collect()} == {0}
+
+
+def test_rows_of_one_anchor_over_many_batches(spark):
+    """Whether an anchor is shared may show only batches later."""
+    rng = random.Random(3)
+    rows = [(i, a) for a in range(12) for i in sorted(rng.choices(range(4), k=rng.randint(1, 5)))]
+    want = set(r for r in rows if len({i for i, a in rows if a == r[1]}) > 1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in (1, 2, 3, 100):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = substring._shared(spark.createDataFrame(rows, "id long, anchor long")).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        assert set(map(tuple, got)) == want
