@@ -89,7 +89,7 @@ class Model:
             shares = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
             shares /= shares.sum(axis=1, keepdims=True)
             for i, best, share in zip(known, values.argmax(axis=1), shares.max(axis=1), strict=True):
-                names[i], scores[i] = self.languages[best], share
+                names[i], scores[i] = self.languages[best], round(float(share), 6)
         return names, scores
 
 
@@ -124,7 +124,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
 
     The sample is taken by a hash of the id, evenly over the languages: first ids alone, then the rows of these.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
@@ -136,7 +136,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     chosen = rows.where(F.col("lang").isin(learned)).select("lang", "id").withColumn("n", rank).where(F.col("n") <= each).select("lang", "id").distinct()
     # At most SAMPLE_ROWS small rows: a proven bound for the broadcast. A repeated id gives its largest text once.
-    sample = rows.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.max("text").alias("text"))
+    sample = rows.join(F.broadcast(chosen), ["lang", "id"]).where("text is not null").groupBy("lang", "id").agg(F.max("text").alias("text"))
 
     def make():
         def work(texts):

@@ -43,14 +43,14 @@ REMEMBERED = 500_000
 def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets (1 to BUCKETS) of the words of all texts one after another, and each text's number of words. Words are
     what white space parts, in lower case. Null counts as empty."""
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(own_copy(texts)))
+    lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts))))
     coded = pc.dictionary_encode(lists.flatten())
     names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     if len(known) > REMEMBERED:
         known.clear()
     for w in names:
         if w not in known:
-            known[w] = 1 + xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % BUCKETS if w else 0
+            known[w] = 1 + xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % BUCKETS if w.strip() else 0
     value = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy(zero_copy_only=False)]
     offsets = lists.offsets.to_numpy()
     offsets = offsets - offsets[0]

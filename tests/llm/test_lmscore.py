@@ -49,7 +49,7 @@ def test_score_is_the_sum_over_all_words(spark):
                 h += network.embed[place][network.inputs[words[j]] if 0 <= j < len(words) else 0]
             logits = np.tanh(h) @ network.layer + network.bias
             total += logits[network.classes[w]] - math.log(np.exp(logits).sum()) + network.inside[w]
-        assert abs(r["log_likelihood"] - total) < 1e-3 * max(1, len(words))
+        assert abs(r["log_likelihood"] - total) < 1e-3 * max(1, len(words)), (repr(r["text"])[:60], r["n_tokens"], words)
         assert (r["mean_log_prob"] is None) == (len(words) == 0)
 
 
