@@ -78,16 +78,17 @@ def test_odd_rows_and_clashing_columns(spark):
 
 def test_training_from_tables(spark):
     texts, labels = labelled()
-    docs = frame(spark, texts + [None, texts[0]]).join(spark.createDataFrame([*enumerate(labels), (240, 1), (241, None)], "doc_id long, toxic int"), "doc_id")
-    model = toxicity.train(docs)
-    rows = toxicity.score(docs.where("toxic is not null"), model, keep=["doc_id", "toxic"]).collect()
-    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.97
-    again = toxicity.score(docs, toxicity.train(docs.repartition(9)), keep=["doc_id"]).collect()
-    assert {r["doc_id"]: r["score"] for r in again if r["doc_id"] < 240} == {r["doc_id"]: r["score"] for r in rows if r["doc_id"] < 240}
+    docs = frame(spark, texts + [None, texts[0]])
+    marks = spark.createDataFrame([*enumerate(labels), (240, 1), (241, None), (999, 1)], "doc_id long, toxic int")
+    rows = toxicity.score(docs, toxicity.train(docs, marks), keep=["doc_id"]).collect()
+    got = {r["doc_id"]: r["score"] for r in rows}
+    assert np.mean([(got[i] >= toxicity.THRESHOLD) == bool(y) for i, y in enumerate(labels)]) > 0.97
+    again = toxicity.score(docs, toxicity.train(docs.repartition(9), marks.repartition(4)), keep=["doc_id"]).collect()
+    assert {r["doc_id"]: r["score"] for r in again} == got
 
 
 def test_nothing_to_learn_from(spark):
-    docs = frame(spark, corpus(n=5)[0]).withColumn("toxic", F.lit(0))
-    assert {r["predicted"] for r in toxicity.score(docs, toxicity.train(docs)).collect()} == {0}
-    empty = docs.where("false")
-    assert toxicity.score(empty, toxicity.train(empty)).collect() == []
+    docs = frame(spark, corpus(n=5)[0])
+    marks = docs.select("doc_id", F.lit(0).alias("toxic"))
+    assert {r["predicted"] for r in toxicity.score(docs, toxicity.train(docs, marks)).collect()} == {0}
+    assert toxicity.score(docs.where("false"), toxicity.train(docs.where("false"), marks)).collect() == []
