@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mostrador.llm import langid, packing, simhash, substring, toxicity
 from mostrador.llm.common import written
-from mostrador.llm.queries import labelled
+from mostrador.llm.queries import labels
 
 #: A text goes if no learned language gets at least this share of the votes, or if it has no letter.
 MIN_LANGUAGE_SCORE = 0.4
@@ -22,7 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones among them, does not find toxic."""
-    judged = toxicity.score(docs, toxicity.train(labelled(spark, sf_dir, docs)))
+    judged = toxicity.score(docs, toxicity.train(docs, labels(spark, sf_dir)))
     return judged.where(toxicity.acceptable()).select(*docs.columns)
 
 

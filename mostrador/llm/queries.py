@@ -35,16 +35,14 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """doc_id, text and labels of the labelled rows of ``docs``."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
 
 
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = toxicity.train(labelled(spark, sf_dir, docs.where(id_remainder("doc_id", 3) != 1)))
+    model = toxicity.train(docs.where(id_remainder("doc_id", 3) != 1), labels(spark, sf_dir))
     judged = toxicity.score(docs, model, keep=["doc_id"])
     return judged.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
@@ -117,8 +115,7 @@ FROM judged
 
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    judged = quality.judge(documents(spark, sf_dir), labels)
+    judged = quality.judge(documents(spark, sf_dir), labels(spark, sf_dir).select("doc_id", "quality"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules"
     )

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns, blocks
+from mostrador.llm.common import add_columns, blocks, own_copy
 
 SIGNS = 64
 MAX_GAP = 2
@@ -124,8 +124,10 @@ class Model:
     slope: float
     shift: float
 
-    def decide(self, items: list[str]) -> np.ndarray:
-        """The SVM's value for each word."""
+    def decide(self, items: list[str], step: int = 8192) -> np.ndarray:
+        """The SVM's value for each word, ``step`` words at a time, as a word has some hundred triples."""
+        if len(items) > step:
+            return np.concatenate([self.decide(items[i : i + step]) for i in range(0, len(items), step)])
         owner, triple, weight = triples(items)
         norm = np.sqrt(np.bincount(owner, weight**2, len(items)))
         return np.bincount(owner, weight * self.table[triple], len(items)) / np.maximum(norm, 1e-12) + self.bias
@@ -134,7 +136,7 @@ class Model:
         """Of each text. ``known`` holds the values of tokens met before."""
         if self.table is None:
             return np.zeros(len(texts))
-        low = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+        low = pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts)))
         lists = pc.utf8_split_whitespace(low)
         coded = pc.dictionary_encode(lists.flatten())
         tokens = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -310,16 +312,16 @@ def _logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return slope, float(np.log(THRESHOLD / (1 - THRESHOLD)) - slope * best)
 
 
-def train(labelled: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """From rows with a text and a label 0 or 1. The driver gets a bounded number of words of a bounded sample, chosen by
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """From ``docs`` (id, text) with ``labels`` (id, label 0 or 1). Ids alone are joined with the labels; texts are read for
+    the sample only. The driver gets a bounded number of words of a bounded sample, chosen by
     a hash of the id evenly over both labels. With fewer than two labels nothing is learned and all scores are 0."""
-    rows = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
-        F.col(label_col).cast("int").alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-    )
+    marks = labels.where(F.col(label_col).isin(0, 1)).select(F.col(label_col).cast("int").alias("label"), F.col(id_col).alias("id"))
     rank = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.select("label", "id").withColumn("n", rank).where(F.col("n") <= SAMPLE_PER_LABEL).select("label", "id").distinct()
+    chosen = marks.join(docs.select(F.col(id_col).alias("id")), "id").withColumn("n", rank).where(F.col("n") <= SAMPLE_PER_LABEL).select("label", "id").distinct()
     # At most 2 * SAMPLE_PER_LABEL small rows: a proven bound for the broadcast.
-    sample = rows.join(F.broadcast(chosen), ["label", "id"]).groupBy("label", "id").agg(F.max("text").alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(chosen), "id").where("text is not null").groupBy("label", "id").agg(F.max("text").alias("text"))
 
     def make():
         def work(texts):
