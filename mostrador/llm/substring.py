@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,8 +112,9 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 #: A window's row: h1 is 64 bits of its hash; the top 17 bits of ``rest`` are more of it, then 16 that tell rows with one
-#: id apart (from the text's hash), then the place of its first word. Settled spans have no h1.
-_WINDOWS = "h1 long, rest long, id {0}, last int"
+#: id apart (from the text's hash), then the place of its first word. A document that has the window again (repeated
+#: lines and words) sends no further row, but the other places in ``more``. Settled spans have no h1, and their end in last.
+_WINDOWS = "h1 long, rest long, id {0}, last int, more array<int>"
 _TAG_AT, _HASH_AT = 31, 47
 
 
@@ -144,6 +146,12 @@ def _parse_block(ids: pa.Array, tags: np.ndarray, texts: list[bytes], opened: li
     ranked = rank[doc[order]]
     later = ranked > ranked[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
     going, settled = order[~later], np.sort(order[later])
+    # One row for a window and document; the places after the first go along as a list.
+    lead = np.append(True, (np.diff(h1[going]) != 0) | (np.diff(h2[going]) != 0) | (np.diff(doc[going]) != 0))[: len(going)]
+    heads = np.flatnonzero(lead)
+    extra = np.diff(np.append(heads, len(going))) - 1
+    places = (at - starts[doc])[going][~lead].astype(np.int32)
+    going = going[heads]
     # Settled windows one after another in one document become one span.
     new = np.append(True, (np.diff(at[settled]) != 1) | (np.diff(doc[settled]) != 0))[: len(settled)]
     runs = np.flatnonzero(new)
@@ -154,9 +162,13 @@ def _parse_block(ids: pa.Array, tags: np.ndarray, texts: list[bytes], opened: li
     rest = (h2[where] << np.uint64(_HASH_AT)) | (tags[doc[where]].astype(np.uint64) << np.uint64(_TAG_AT)) | first.astype(np.uint64)
     plain = np.arange(len(where)) >= len(going)
     ends_of = np.concatenate([np.zeros(len(going), np.int32), last.astype(np.int32)])
+    lists = np.concatenate([[0], np.cumsum(np.concatenate([extra, np.zeros(len(runs), np.int64)]))]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(h1[where].view(np.int64), mask=plain), pa.array(rest.view(np.int64)), ids.take(pa.array(doc[where])), pa.array(ends_of, mask=~plain)],
-        ["h1", "rest", "id", "last"],
+        [
+            pa.array(h1[where].view(np.int64), mask=plain), pa.array(rest.view(np.int64)), ids.take(pa.array(doc[where])),
+            pa.array(ends_of, mask=~plain), pa.ListArray.from_arrays(pa.array(lists), pa.array(places)),
+        ],
+        ["h1", "rest", "id", "last", "more"],
     )
 
 
@@ -232,8 +244,12 @@ def spans(docs: DataFrame) -> DataFrame:
             last_key, last_id = (h1[-1], h2[-1], settled[-1]), least[-1]
             keep = np.flatnonzero(settled | (ids > least))
             begin = (rest[keep] & np.uint64((1 << _TAG_AT) - 1)).astype(np.int32)
-            tag = ((rest[keep] >> np.uint64(_TAG_AT)) & np.uint64(0xFFFF)).astype(np.int32)
             end = np.where(settled[keep], batch.column("last").fill_null(0).to_numpy()[keep], begin + LEAST).astype(np.int32)
+            more = batch.column("more").take(pa.array(keep))
+            again = more.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            keep = np.concatenate([keep, np.repeat(keep, pc.fill_null(pc.list_value_length(more), 0).to_numpy())])
+            begin, end = np.concatenate([begin, again]), np.concatenate([end, again + LEAST]).astype(np.int32)
+            tag = ((rest[keep] >> np.uint64(_TAG_AT)) & np.uint64(0xFFFF)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(keep)), pa.array(tag), pa.array(begin), pa.array(end)], ["id", "tag", "first", "last"])
 
     # Settled spans have no hash; dealt by document they spread, and sort before the hashed windows.
