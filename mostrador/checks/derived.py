@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from mostrador.operators import keyed
 from mostrador.operators.quality import Stage
 from mostrador.plans import star
-from mostrador.session import scratch_path
+from mostrador.plans.daily_run import Inputs
+from mostrador.session import scratch_path, stored
 from mostrador.sources import catalogue_json, fx_json, landing, sales_csv, weather_json
 
 # Ties within a key are settled by these columns; rows equal in all of them are equal in every field used.
@@ -206,6 +207,50 @@ def fx_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def written_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The files of a daily run, written from the given tables."""
+    root = scratch_path(spark, "entrada")
+    sales = (
+        raw_sales(spark, sf_dir)
+        .withColumn("grupo", F.floor(F.col("l_orderkey") / ORDERS_PER_FILE))
+        .repartition("grupo")
+        .sortWithinPartitions("grupo", "l_orderkey", *ORDER)
+        .select("grupo", *sales_csv.COLUMNS)
+    )
+    sales.write.partitionBy("grupo").csv(
+        f"{root}/ventas", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    for name, documents in (
+        ("productos", catalogue_documents(spark, sf_dir)), ("clima", weather_documents(spark, sf_dir)), ("cambio", fx_documents(spark, sf_dir)),
+    ):
+        documents.repartition("archivo").write.partitionBy("archivo").text(f"{root}/{name}")
+    return Inputs(*[f"{root}/{name}" for name in ("ventas", "productos", "clima", "cambio")])
+
+
+def landed_payloads(spark: SparkSession, documents: DataFrame, name: str) -> DataFrame:
+    """``documents`` written as files of their own (a folder for each), landed, and read from there."""
+    written = scratch_path(spark, f"{name}-json")
+    documents.repartition("archivo").write.partitionBy("archivo").text(written)
+    folder = landing.land_documents(spark, written, name, datetime(2026, 9, 13, 7), scratch_path(spark, "crudo"))
+    return landing.landed_documents(spark, folder)
+
+
+def doubtful_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate responses of all months; by month number some are cut, some are lists, HTML, null or empty."""
+    month = F.substring("archivo", -2, 2).cast("int")
+    text = F.col("contenido")
+    return fx_documents(spark, sf_dir).select(
+        "archivo",
+        F.when(month == 1, F.left(text, F.length(text) - 1))
+        .when(month == 2, F.left(text, F.floor(F.length(text) / 2).cast("int")))
+        .when(month == 3, F.concat(F.lit("["), text, F.lit("]")))
+        .when(month == 4, F.lit("<html>503</html>"))
+        .when(month == 5, F.lit("{}")).when(month == 6, F.lit('{"rates": null}')).when(month == 7, F.lit('{"rates": 5}'))
+        .when(month == 8, F.lit('{"rates": []}')).when(month == 9, F.lit("")).when(month == 10, F.lit("null"))
+        .otherwise(text).alias("contenido"),
+    )
+
+
 def checked_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_json.classify(weather_json.scan(weather_documents(spark, sf_dir)))
 
@@ -237,13 +282,6 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact_rows(sales(spark, sf_dir), products(spark, sf_dir), fx_rates(spark, sf_dir))
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back, for queries that use it repeatedly."""
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def stored_stage(spark: SparkSession, sf_dir: str) -> Stage:
     """All tables of the star schema and its staging area, written out as a daily run leaves them."""
     kept_sales = stored(spark, sales(spark, sf_dir), "ventas")

@@ -178,10 +178,6 @@ FIRST, SECOND = "'2026-09-12 07:00:00'", "'2026-09-13 07:00:00'"
 RULE = "SELECT problemas FROM rules WHERE regla = {}"
 
 
-def _latest(source: str, keys: str, order: str) -> str:
-    return f"(SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)"
-
-
 _FACT_COLUMNS = (
     "folio, producto_id, fecha, dia_semana, canal, cantidad, precio_unitario, total_mxn, usd_mxn, total_usd"
 )
@@ -197,11 +193,19 @@ QUERIES = {
             SELECT *, row_number() OVER (PARTITION BY grupo ORDER BY l_orderkey, {ORDER}) + 1 AS registro
             FROM checked_sales) n
         WHERE motivo IS NOT NULL""",
-    "landing_roundtrip": """
+    "landing_roundtrip": f"""
         SELECT grupo, CAST(55 + sum(strlen(folio) + strlen(fecha) + strlen(producto_id) + coalesce(strlen(cantidad), 0)
                                + strlen(precio_unitario) + strlen(canal) + 6) AS BIGINT) AS bytes,
-               count(*) + 1 AS lineas, true AS completo
+               count(*) + 1 AS lineas,
+               md5('folio,fecha,producto_id,cantidad,precio_unitario,canal' || chr(10) || string_agg(
+                   folio || ',' || fecha || ',' || producto_id || ',' || coalesce(cantidad, '') || ',' || precio_unitario
+                   || ',' || canal || chr(10), '' ORDER BY l_orderkey, {ORDER})) AS huella
         FROM raw_sales GROUP BY grupo""",
+    "payload_check": """
+        SELECT DISTINCT 'cambio-' || strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS archivo,
+               month(o_orderdate) IN (5, 6, 8, 11, 12) AS legible
+        FROM orders
+        WHERE isodow(o_orderdate) <= 5 AND CAST(o_orderdate AS DATE) >= DATE '1995-03-01'""",
     "scan_products_json": """
         SELECT producto_id::BIGINT AS id, linea,
                CASE WHEN p_size NOT IN (49, 50) THEN precio END AS precio
@@ -240,6 +244,15 @@ QUERIES = {
                cargadas AS filas_cargadas, {FIRST} AS cargado_en
         FROM counters ORDER BY id DESC""",
     "rerun_idempotent": "SELECT count(*) AS filas, count(*) AS iguales, count(*) AS recargadas FROM sales",
+    "rerun_whole_run": """
+        SELECT tabla, filas, filas AS iguales FROM (
+            SELECT 'staging.ventas' AS tabla, count(*) AS filas FROM sales UNION ALL
+            SELECT 'staging.productos', count(*) FROM products UNION ALL
+            SELECT 'staging.clima', count(*) FROM weather UNION ALL
+            SELECT 'staging.tipo_cambio', count(*) FROM fx_rates UNION ALL
+            SELECT 'analytics.dim_producto', count(*) FROM products UNION ALL
+            SELECT 'analytics.dim_clima', count(*) FROM weather UNION ALL
+            SELECT 'analytics.fact_ventas', count(*) FROM sales JOIN products USING (producto_id)) n""",
     "clean_text": f"""
         SELECT conv_id, turn, md5(limpio) AS huella, CAST(length(limpio) AS INTEGER) AS largo,
                CASE WHEN limpio = '' THEN 'texto vacío' END AS motivo

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,10 @@ from mostrador.functions import cleaning as c
 from mostrador.functions import measures
 from mostrador.operators import audit, keyed, quality
 from mostrador.operators.asof import asof_day_join
-from mostrador.plans import incremental, reports, star
+from mostrador.plans import daily_run, incremental, reports, star
+from mostrador.plans.warehouse import Warehouse
 from mostrador.session import scratch_path
-from mostrador.sources import landing, sales_csv
+from mostrador.sources import fx_json, landing, payload, sales_csv, weather_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,11 +77,19 @@ def sales_record_no(spark, sf_dir):
 @query
 def landing_roundtrip(spark, sf_dir):
     lines, files = d.landed_sales(spark, sf_dir)
-    return landing.line_copy_check(lines, files.select("archivo_no", "archivo", "bytes")).select(
-        F.regexp_extract("archivo", "grupo=([0-9]+)", 1).cast("bigint").alias("grupo"), "bytes", "lineas", "completo"
+    return landing.line_copy_check(lines, files).select(
+        F.regexp_extract("archivo", "grupo=([0-9]+)", 1).cast("bigint").alias("grupo"), "bytes", "lineas", "huella"
     )
 
 
+@query
+def payload_check(spark, sf_dir):
+    """Whether each of the responses can be loaded; some are cut or no object, by rule."""
+    documents = d.doubtful_documents(spark, sf_dir)
+    reason = payload.problem(F.col("contenido"), "rates")
+    return documents.select("archivo", reason.isNull().alias("legible"))
+
+
 @query
 def scan_products_json(spark, sf_dir):
     """Catalogue documents written as files, landed whole, and read back element by element."""
@@ -99,12 +110,16 @@ def scan_products_json(spark, sf_dir):
 
 @query
 def weather_rows(spark, sf_dir):
-    return d.weather(spark, sf_dir)
+    """From landed files, byte for byte."""
+    rows = weather_json.classify(weather_json.scan(d.landed_payloads(spark, d.weather_documents(spark, sf_dir), "clima")))
+    return rows.where("motivo IS NULL").drop("motivo", *weather_json.POSITION)
 
 
 @query
 def fx_rows(spark, sf_dir):
-    return d.fx_rates(spark, sf_dir)
+    """From landed files, byte for byte."""
+    rows = fx_json.classify(fx_json.scan(d.landed_payloads(spark, d.fx_documents(spark, sf_dir), "tipo_cambio")))
+    return rows.where("motivo IS NULL").drop("motivo", *fx_json.POSITION)
 
 
 @query
@@ -209,6 +224,32 @@ def rerun_idempotent(spark, sf_dir):
     )
 
 
+@query
+def rerun_whole_run(spark, sf_dir):
+    """Rows of each table after a whole daily run, and how many are the same after a second one on the same files.
+
+    The derived data breaks some rules on purpose, so each run ends with them, after its tables are published.
+    """
+    inputs, root = d.written_inputs(spark, sf_dir), scratch_path(spark, "casa")
+    house = Warehouse(spark, root)
+    states = []
+    for day in (12, 13):
+        started = datetime(2026, 9, day, 7, tzinfo=ZoneInfo("UTC"))
+        with contextlib.suppress(quality.QualityError):
+            daily_run.run_daily(
+                spark, root, inputs, "igual", now=started, until=date(2100, 1, 1), history_start=date(1900, 1, 1)
+            )
+        states.append({
+            table: house.read(table).select(*[name for name in table.columns if name != table.stamp])
+            for table in (*t.STAGING, *t.STAR)
+        })
+    counted = []
+    for table, before in states[0].items():
+        same = before.intersectAll(states[1][table]).agg(F.count("*").alias("iguales"))
+        counted.append(before.agg(F.lit(table.name).alias("tabla"), F.count("*").alias("filas")).withColumn("iguales", same.scalar()))
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- column expressions -------------------------------------------------------------------------
 
 

@@ -10,6 +10,9 @@ Keeping the two apart keeps the generated code of the usual case small enough fo
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ CHANNELS = {"whatsapp": "WhatsApp", "tienda": "Tienda"}
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 ABOVE_ZERO = r"^\+?[0_.]*[1-9]"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+LONG_NUMBER = r"^([+-]?[0-9]*\.[0-9]{17})([0-9]+)$"
 NOT_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 ISO_DAY = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])$"
 SLASH_DAY = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
@@ -38,6 +42,16 @@ def stripped(raw: Column) -> Column:
     return F.when(usual, text).otherwise(F.btrim(raw, F.lit(WHITE_SPACE)))
 
 
+# All decimal digits but the ASCII ones, by the rule that Unicode gives; they count like 0 to 9.
+_ZEROS = [chr(code) for code in range(128, sys.maxunicode + 1) if unicodedata.decimal(chr(code), None) == 0]
+OTHER_DIGITS = "".join(chr(ord(zero) + value) for zero in _ZEROS for value in range(10))
+
+
+def ascii_digits(text: Column) -> Column:
+    """``text`` with decimal digits of other scripts as 0 to 9; only tried where there is a character beyond ASCII."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, OTHER_DIGITS, "0123456789" * len(_ZEROS))).otherwise(text)
+
+
 def quoted(raw: Column) -> Column:
     """Text as shown in reject reasons: quoted, with control characters escaped."""
     shown = F.replace(raw, F.lit("\\"), F.lit("\\\\"))
@@ -71,17 +85,19 @@ def text_error(text: Column, field: str) -> Column:
 
 def positive_int(text: Column) -> Column:
     """The number, underscores between digits allowed; NULL when it is none or does not fit an int."""
+    text = ascii_digits(text)
     grouped = F.when(text.rlike(INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("int"))
     return F.coalesce(text.try_cast("int"), grouped)
 
 
 def positive_int_error(text: Column, field: str) -> Column:
-    digits = F.regexp_replace(F.regexp_replace(text, "[_+]", ""), "^(-?)0+(?=[0-9])", "$1")
+    plain = ascii_digits(text)
+    digits = F.regexp_replace(F.regexp_replace(plain, "[_+]", ""), "^(-?)0+(?=[0-9])", "$1")
     number = F.when(digits == "-0", F.lit("0")).otherwise(digits)
     return (
         F.when(is_blank(text), F.lit(f"{field} vacío"))
-        .when(~text.rlike(INTEGER), F.concat(F.lit(f"{field} no es un número entero: "), quoted(text)))
-        .when(~text.rlike(ABOVE_ZERO), F.concat(F.lit(f"{field} debe ser mayor a 0: "), number))
+        .when(~plain.rlike(INTEGER), F.concat(F.lit(f"{field} no es un número entero: "), quoted(text)))
+        .when(~plain.rlike(ABOVE_ZERO), F.concat(F.lit(f"{field} debe ser mayor a 0: "), number))
     )
 
 
@@ -96,16 +112,22 @@ def amount_text(text: Column) -> Column:
 def money(amount: Column) -> Column:
     """Amount with two places, ties to the even cent (``cast`` and ``round`` would go half up).
 
-    With at most two places and no exponent there is nothing to round and the direct cast is exact.
+    With at most two places and no exponent there is nothing to round and the direct cast is exact. Of more than 17
+    places the rest only tells whether the value lies above the 17th: one digit stands for it, so no tie appears or is
+    lost. (With an exponent and more than 18 places the cast rounds to these first.)
     """
+    amount = ascii_digits(amount)
     point = F.instr(amount, ".")
     short = ((point == 0) | (F.length(amount) - point <= 2)) & ~F.contains(F.lower(amount), F.lit("e"))
-    rounded = F.bround(amount.try_cast("decimal(38,18)"), 2).try_cast("decimal(10,2)")
+    rest = F.when(F.regexp_extract(amount, LONG_NUMBER, 2).rlike("[1-9]"), F.lit("1")).otherwise(F.lit("0"))
+    cut = F.when(amount.rlike(LONG_NUMBER), F.concat(F.regexp_extract(amount, LONG_NUMBER, 1), rest)).otherwise(amount)
+    rounded = F.bround(cut.try_cast("decimal(38,18)"), 2).try_cast("decimal(10,2)")
     return F.when(short, amount.try_cast("decimal(10,2)")).otherwise(rounded)
 
 
 def money_error(amount: Column, field: str, shown: Column) -> Column:
     """``shown`` is the raw value as it appears in the reason."""
+    amount = ascii_digits(amount)
     return (
         F.when(F.coalesce(amount, F.lit("")) == "", F.concat(F.lit(f"{field} no es una cantidad: "), shown))
         .when(
@@ -124,6 +146,7 @@ def money_error(amount: Column, field: str, shown: Column) -> Column:
 
 def day(text: Column) -> Column:
     """ISO or day/month/year text as a date, NULL when it is neither."""
+    text = ascii_digits(text)
     iso = F.when(F.contains(text, F.lit("/")), F.regexp_replace(text, SLASH_DAY, "$3-$2-$1")).otherwise(text)
     return F.when(iso.rlike(ISO_DAY), F.replace(iso, F.lit(" "), F.lit("")).try_cast("date"))
 

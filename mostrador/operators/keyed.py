@@ -1,7 +1,7 @@
 """Last-record-wins and keyed upsert.
 
-Both are one aggregation per key, so copies of a key collapse inside each map task before the shuffle;
-a key that holds a third of the rows costs one row per task on the wire.
+Most keys come once. Counting rows per key is a hash aggregation of a few bytes per key, combined inside the map tasks,
+so a key that holds a third of the rows costs one row per task. Only rows of repeated keys are compared with each other.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mostrador.session import stored
+
 
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None
@@ -40,13 +42,28 @@ def upsert(
 
     Every incoming row is stamped with ``loaded_at``; keys that do not come in keep their old row and
     stamp; nothing is deleted. With ``order`` the incoming rows may repeat a key, the last one wins.
-    The dedup of the batch and the merge share a single shuffle.
+
+    The batch is deduplicated and written once, so that its size is known: the rows of ``target`` that stay are then
+    found against its keys alone, by broadcast while these are under ``spark.sql.autoBroadcastJoinThreshold`` (the
+    target is not shuffled), else by a join on the keys.
     """
+    batch = latest_by_key(incoming, keys, order) if order else incoming
+    return merge(target, stored(target.sparkSession, batch, "lote"), keys, stamp, loaded_at)
+
+
+def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], stamp: str, loaded_at: datetime) -> DataFrame:
+    """The second half of :func:`upsert`, for a stored ``batch`` with one row per key."""
     columns = target.columns
-    batch = incoming.withColumn(stamp, F.lit(loaded_at)).select(*columns, *order, F.lit(1).alias("_batch"))
-    before = target.select(
-        *columns, *[F.lit(None).cast(batch.schema[name].dataType).alias(name) for name in order],
-        F.lit(0).alias("_batch"),
-    )
-    merged = latest_by_key(before.unionByName(batch), keys, ["_batch", *order])
-    return merged.select(*columns)
+    kept = target.join(batch.select(*keys), list(keys), "left_anti").select(*columns)
+    return kept.unionByName(batch.withColumn(stamp, F.lit(loaded_at)).select(*columns))
+
+
+def refresh(target: DataFrame, rows: DataFrame, keys: Sequence[str], stamp: str, loaded_at: datetime) -> DataFrame:
+    """As :func:`upsert`, for ``rows`` that hold nearly every key of ``target``.
+
+    Only keys are compared: those that ``rows`` lack are few, and just their old rows are read in full.
+    """
+    columns = target.columns
+    fresh = stored(target.sparkSession, rows.withColumn(stamp, F.lit(loaded_at)).select(*columns), "nuevas")
+    left = stored(target.sparkSession, target.select(*keys).join(fresh.select(*keys), list(keys), "left_anti"), "viejas")
+    return fresh.unionByName(target.join(left, list(keys), "left_semi").select(*columns))

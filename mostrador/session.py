@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BUSINESS_ZONE = "America/Mexico_City"
 
@@ -44,7 +44,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="mostrador-")
@@ -56,19 +57,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-MAX_SHUFFLE_PARTITIONS = 50_000
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: computed once, and its size is known."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Setting (and default) of the most partitions that :func:`size_shuffles` asks for.
+MOST_PARTITIONS, MOST_PARTITIONS_DEFAULT = "mostrador.shuffle.maxPartitions", 200_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Start shuffles with enough partitions for ``input_bytes`` of new rows and as much of stored ones.
 
     About 128 MB each, so that a partition sorts in executor memory; AQE joins those that turn out smaller.
-    Beyond MAX_SHUFFLE_PARTITIONS partitions grow (and spill) instead, as ever smaller shuffle blocks would cost
-    more. Never lowers what the session asks for. Returns the number.
+    Beyond the setting ``mostrador.shuffle.maxPartitions`` partitions grow (and spill) instead, as ever smaller shuffle
+    blocks would cost more. Never lowers what the session asks for. Returns the number.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     asked = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(asked, min(-(-2 * input_bytes // (128 << 20)), MAX_SHUFFLE_PARTITIONS))
+    wanted = max(asked, min(-(-2 * input_bytes // (128 << 20)), int(spark.conf.get(MOST_PARTITIONS, str(MOST_PARTITIONS_DEFAULT)))))
     if wanted > asked:
         spark.conf.set(key, str(wanted))
     return wanted

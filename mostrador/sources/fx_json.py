@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mostrador.functions import cleaning as c
 from mostrador.operators.barrier import evaluated_once
+from mostrador.sources import payload
 
 KEYS = ("fecha",)
 POSITION = ("archivo", "linea")
@@ -15,7 +16,11 @@ CURRENCY = "MXN"
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """One row per day as text: ``archivo``, ``linea`` (the day itself) and the rate or NULL."""
+    """One row per day as text: ``archivo``, ``linea`` (the day itself) and the rate or NULL.
+
+    A response that is no whole JSON object stops the load.
+    """
+    documents = payload.checked(documents, "rates")
     rates = F.from_json("contenido", "rates map<string, map<string, string>>")["rates"]
     return documents.select("archivo", F.explode(rates).alias("linea", "_rates")).select(
         "archivo", "linea", F.try_element_at("_rates", F.lit(CURRENCY)).alias("tasa")

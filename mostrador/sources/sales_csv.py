@@ -19,6 +19,9 @@ POSITION = ("archivo_no", "bloque", "linea_id", "parte")
 
 RETURN = "\r"
 
+# No field may be longer; a longer one (usually a quote left open) stops the load.
+FIELD_LIMIT = 131_072
+
 
 # --- headers ------------------------------------------------------------------------------------
 
@@ -65,7 +68,7 @@ def _joined_records(lines: DataFrame) -> DataFrame:
     ever needs a whole file.
     """
     parts = lines.select(
-        "archivo_no", "bloque", "linea_id",
+        "archivo_no", "archivo", "bloque", "linea_id",
         F.posexplode(F.split(without_return(F.col("contenido")), RETURN)).alias("parte", "texto"),
     )
     from_outside = F.when(closes(F.col("texto")), 0).otherwise(1)
@@ -106,11 +109,15 @@ def _joined_records(lines: DataFrame) -> DataFrame:
         .where((F.col("antes") == 1) | (F.col("texto") != ""))
         .withColumn("cabeza", 1 - F.col("antes"))
         .withColumn("en_bloque", F.sum("cabeza").over(so_far))
+        .withColumn("comillas", F.contains("texto", F.lit('"')).cast("int"))
+        .withColumn("citas_hasta", F.sum("comillas").over(so_far))
     )
-    counts = heads.groupBy("archivo_no", "bloque").agg(F.sum("cabeza").alias("cabezas"))
+    counts = heads.groupBy("archivo_no", "bloque").agg(F.sum("cabeza").alias("cabezas"), F.sum("comillas").alias("citas"))
     offsets = counts.select(
-        "archivo_no", "bloque", F.coalesce(F.sum("cabezas").over(earlier), F.lit(0)).alias("anteriores")
+        "archivo_no", "bloque", F.coalesce(F.sum("cabezas").over(earlier), F.lit(0)).alias("anteriores"),
+        F.coalesce(F.sum("citas").over(earlier), F.lit(0)).alias("citas_antes"),
     )
+    _check_open_quotes(heads.join(offsets, ["archivo_no", "bloque"]))
     piece = F.struct("bloque", "linea_id", "parte", "texto")
     return (
         heads.join(offsets, ["archivo_no", "bloque"])
@@ -128,6 +135,36 @@ def _joined_records(lines: DataFrame) -> DataFrame:
     )
 
 
+def _check_open_quotes(heads: DataFrame) -> None:
+    """Stop the load when lines without a quote, all inside one quoted field, are longer than a field may be.
+
+    Only lengths are added up, so a file whose quote stays open to its end is found before any record is put together.
+    """
+    inside = (F.col("antes") == 1) & (F.col("comillas") == 0)
+    runs = (
+        heads.where(inside)
+        .groupBy("archivo", (F.col("citas_antes") + F.col("citas_hasta")).alias("corrida"))
+        .agg(F.sum(F.length("texto") + 1).alias("largo"), F.min(F.col("anteriores") + F.col("en_bloque")).alias("registro"))
+    )
+    found = runs.where(F.col("largo") > FIELD_LIMIT).orderBy("archivo", "registro").limit(1).collect()
+    if found:
+        raise ValueError(_too_long(found[0].archivo, found[0].registro))
+
+
+def _too_long(file: str, record: int) -> str:
+    return f"campo de más de {FIELD_LIMIT} caracteres (¿comillas sin cerrar?) en {file}, registro {record}"
+
+
+def _within_limit(text: Column, header: str) -> Column:
+    """``text`` of a record; one with a field over the limit stops the load. Only long records are looked into."""
+    count = len(header_columns(header))
+    record = F.from_csv(text, ", ".join(f"_{i} string" for i in range(count)), {"escape": '"', "maxCharsPerColumn": "-1"})
+    longest = F.greatest(F.lit(0), *[F.coalesce(F.length(record[f"_{i}"]), F.lit(0)) for i in range(count)])
+    start = F.left(text, F.lit(60))
+    stop = F.raise_error(F.concat(F.lit(f"campo de más de {FIELD_LIMIT} caracteres en el registro que empieza con: "), start))
+    return F.when(F.length(text) <= FIELD_LIMIT, text).when(longest <= FIELD_LIMIT, text).otherwise(stop.cast("string"))
+
+
 def scan(lines: DataFrame) -> DataFrame:
     """Raw records of landed CSV files: :data:`POSITION`, ``registro`` and the required text columns.
 
@@ -162,8 +199,10 @@ def scan(lines: DataFrame) -> DataFrame:
         )
     else:
         fields = _fields(F.col("texto"), spellings[0])
+    # Records of one header at least; with several, the widest decides how far a long record is looked into.
+    widest = max(spellings, key=lambda text: len(header_columns(text)))
     return (
-        records.withColumn("texto", F.validate_utf8("texto"))
+        records.withColumn("texto", _within_limit(F.validate_utf8("texto"), widest))
         .select(*POSITION, "registro", fields.alias("_campos"))
         .select(*POSITION, "registro", "_campos.*")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mostrador.functions import cleaning as c
 from mostrador.operators.barrier import evaluated_once
+from mostrador.sources import payload
 
 KEYS = ("fecha",)
 POSITION = ("archivo", "linea")
@@ -19,9 +20,10 @@ def scan(documents: DataFrame) -> DataFrame:
     """One row per day as text: ``archivo``, ``linea`` (from 1), ``dia`` and the three measurements.
 
     A missing or empty measurement array stands for no value on any day; otherwise the shortest array
-    decides how many days there are.
+    decides how many days there are. A response that is no whole JSON object stops the load.
     """
     names = ", ".join(f"{name}: array<string>" for name in ["time", *ARRAYS.values()])
+    documents = payload.checked(documents, "daily")
     daily = F.from_json("contenido", f"daily struct<{names}>")["daily"]
     days = F.coalesce(daily["time"], F.array().cast("array<string>"))
     nothing = F.array_repeat(F.lit(None).cast("string"), F.size(days))
