@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from mostrador.llm.common import blocks, own_copy, spread
 
 #: Chunks and words whose ids a Python worker remembers, and the length over which they are not kept; bounds its memory.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 400_000, 600_000, 64
+KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 200_000, 300_000, 64
 _NONE = np.iinfo(np.int64).max
 _SPACES = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -222,7 +222,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(path, pattern)
         for whole in batches:
-            for batch in blocks(whole, "text of doc"):
+            for batch in blocks(whole, "text of doc", 4 << 20):
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], work.encode(batch.column("text of doc"))], [*kept, "ids"])
 
     return chosen.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), T.StructField("ids", T.ArrayType(T.IntegerType()))]))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,23 @@ def id_remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def sample_ids(pairs: DataFrame, kind: str, each: int, counts: dict) -> DataFrame:
+    """(kind, id): the ``each`` ids of least hash of every kind in ``counts``, which has the rows of each.
+
+    First only ids under a hash bound go on, that lets about four times as many through as are wanted; so what meets in
+    one task stays bounded, however many rows a kind has.
+    """
+    low, width = -(1 << 63), 1 << 64
+    bounds = {k: min((1 << 63) - 1, low + width * 4 * each // max(1, n)) if n > 4 * each else (1 << 63) - 1 for k, n in counts.items()}
+    if not bounds:
+        return pairs.select(kind, "id").where("false")
+    bound = F.create_map(*[F.lit(x) if i % 2 == 0 else F.lit(x).cast("long") for k in bounds for i, x in enumerate((k, bounds[k]))])
+    hashed = F.xxhash64("id")
+    few = pairs.where(hashed <= F.try_element_at(bound, F.col(kind))).select(kind, "id").distinct()
+    rank = F.row_number().over(W.partitionBy(kind).orderBy(hashed, "id"))
+    return few.withColumn("n", rank).where(F.col("n") <= each).select(kind, "id")
+
+
 def add_columns(
     df: DataFrame,
     text_col: str,

@@ -14,11 +14,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns
+from mostrador.llm.common import add_columns, sample_ids
 
 BINS = 1 << 16
 GRAMS = (1, 2, 3)
@@ -128,13 +127,12 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    learned = [r["lang"] for r in counts.collect()]
+    found = {r["lang"]: r["count"] for r in counts.collect()}
+    learned = list(found)
     if not learned:
         return fit([], [])
     each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // len(learned)))
-    # row_number <= k is cut down to k rows per language within each task before anything is shuffled.
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.where(F.col("lang").isin(learned)).select("lang", "id").withColumn("n", rank).where(F.col("n") <= each).select("lang", "id").distinct()
+    chosen = sample_ids(rows.select("lang", "id"), "lang", each, found)
     # At most SAMPLE_ROWS small rows: a proven bound for the broadcast. A repeated id gives its largest text once.
     sample = rows.join(F.broadcast(chosen), ["lang", "id"]).where("text is not null").groupBy("lang", "id").agg(F.max("text").alias("text"))
 

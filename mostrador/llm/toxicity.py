@@ -23,11 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns, blocks, own_copy
+from mostrador.llm.common import add_columns, blocks, own_copy, sample_ids
 
 SIGNS = 64
 MAX_GAP = 2
@@ -317,8 +316,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     the sample only. The driver gets a bounded number of words of a bounded sample, chosen by
     a hash of the id evenly over both labels. With fewer than two labels nothing is learned and all scores are 0."""
     marks = labels.where(F.col(label_col).isin(0, 1)).select(F.col(label_col).cast("int").alias("label"), F.col(id_col).alias("id"))
-    rank = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = marks.join(docs.select(F.col(id_col).alias("id")), "id").withColumn("n", rank).where(F.col("n") <= SAMPLE_PER_LABEL).select("label", "id").distinct()
+    known = marks.join(docs.select(F.col(id_col).alias("id")), "id").select("label", "id")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    chosen = sample_ids(known, "label", SAMPLE_PER_LABEL, counts)
     # At most 2 * SAMPLE_PER_LABEL small rows: a proven bound for the broadcast.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").where("text is not null").groupBy("label", "id").agg(F.max("text").alias("text"))

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from mostrador.llm import langid
-from mostrador.llm.common import id_remainder
+from mostrador.llm.common import id_remainder, sample_ids
 from tests.llm.helpers import ODD, corpus, frame, text
 
 
@@ -60,3 +60,13 @@ def test_nothing_to_learn_from(spark):
 def test_one_language_and_repeated_ids(spark):
     docs = frame(spark, [text("en", random.Random(1))] * 5, ["en"] * 5).withColumn("doc_id", F.lit(3).cast("long"))
     assert {r["lang_pred"] for r in langid.predict(docs, langid.train(docs)).collect()} == {"en"}
+
+
+def test_sample_is_the_ids_of_least_hash(spark):
+    rows = spark.range(5000).select((F.col("id") % 3 == 0).cast("int").alias("kind"), "id")
+    rows = rows.unionByName(rows.where("id = 7").crossJoin(spark.range(50).select()))
+    counts = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
+    got = {tuple(r) for r in sample_ids(rows, "kind", 40, counts).collect()}
+    hashed = rows.distinct().withColumn("h", F.xxhash64("id")).collect()
+    want = {(r["kind"], r["id"]) for k in (0, 1) for r in sorted((x for x in hashed if x["kind"] == k), key=lambda x: x["h"])[:40]}
+    assert got == want
