@@ -1,19 +1,21 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Each word is predicted from the words on both its sides. Words hash to ``BUCKETS``; counts of all buckets are gathered
-from the whole corpus. The most frequent buckets are classes of their own, the rest share classes, and
+Each word is predicted from the words on both its sides. The vocabulary is every different word of the corpus with its
+count, written as a table. It is the leaves of a tree built by frequency: the most frequent words are classes of their
+own, all others lie by rank in ``SHARED`` branches of about equal weight, each halved down to single words:
 
-    P(word | both sides) = P(class | both sides) * count(word's bucket) / count(class).
+    P(word | both sides) = P(class | both sides) * product over the halvings of P(the word's half | both sides).
 
-The network for the classes sums one embedding for each neighbour (by place), applies tanh and a softmax layer. It is
-trained in numpy over the whole corpus, on one masked word in ``MASKED`` of every document: each task trains on its
-documents from the same start, and the parameters are averaged by the number of words (``ROUNDS`` times). Every word of
-every document is then scored.
+The network sums one embedding for each neighbour (by place) and applies tanh; a softmax layer gives the class, and each
+halving has a logistic output beside the odds of the two halves' counts. It is trained in numpy over the whole corpus,
+on one masked word in ``MASKED`` of every document. Each task trains on its documents
+from the same start, and the parameters are averaged by the number of words (``ROUNDS`` times). Every word of every
+document is then scored. Words that the corpus lacks share spare leaves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import blocks, own_copy
+from mostrador.llm.common import blocks, own_copy, written
 
-BUCKETS = 1 << 15
 INPUTS = 2048
 CLASSES, SHARED = 64, 16
+#: Halvings with an output of their own; the deeper ones share as many, by rank.
+NODES = 1 << 13
 SIDE = 2
 WIDTH = 16
 MASKED = 8
@@ -36,13 +39,13 @@ ROUNDS = 2
 RATE = 0.1
 BATCH = 2048
 _CHUNK = 1 << 15
-#: Words whose buckets a task remembers; bounds its memory.
+#: Words whose keys a task remembers; bounds its memory.
 REMEMBERED = 500_000
 
 
-def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets (1 to BUCKETS) of the words of all texts one after another, and each text's number of words. Words are
-    what white space parts, in lower case. Null counts as empty."""
+def _different(texts: pa.Array, known: dict[str, int]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Different words of all texts, their keys (64-bit hashes, 0 for an empty piece), which of them each word is, and
+    each text's number of words. Words are what white space parts, in lower case. Null counts as empty."""
     lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts))))
     coded = pc.dictionary_encode(lists.flatten())
     names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -50,70 +53,150 @@ def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarr
         known.clear()
     for w in names:
         if w not in known:
-            known[w] = 1 + xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % BUCKETS if w.strip() else 0
-    value = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy(zero_copy_only=False)]
+            known[w] = (xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63) or 1) if w.strip() else 0
+    keys = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+    at = coded.indices.to_numpy(zero_copy_only=False)
     offsets = lists.offsets.to_numpy()
     offsets = offsets - offsets[0]
-    real = value > 0  # leading and trailing white space gives empty pieces
+    real = keys[at] != 0  # leading and trailing white space gives empty pieces
     ends = np.concatenate([[0], np.cumsum(real)])[offsets]
-    return value[real], np.diff(ends)
+    return names, keys, at[real], np.diff(ends)
+
+
+def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the words of all texts one after another, and each text's number of words."""
+    _, keys, at, sizes = _different(texts, known)
+    return keys[at], sizes
+
+
+@dataclass
+class Vocabulary:
+    """Keys and counts of all different words, the most frequent first."""
+
+    keys: np.ndarray
+    n: np.ndarray
 
+    def sum(self) -> int:
+        return int(self.n.sum())
 
-def counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Occurrences of each bucket (0: none) over all documents. At most BUCKETS rows reach the driver."""
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, key, n): every different word of all documents with its occurrences, as a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, known = np.zeros(BUCKETS + 1, np.int64), {}
+        known: dict[str, int] = {}
         for whole in batches:
             for batch in blocks(whole, "text"):
-                total += np.bincount(tokens(batch.column("text"), known)[0], minlength=BUCKETS + 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
+                names, keys, at, _ = _different(batch.column("text"), known)
+                n = np.bincount(at, minlength=len(names))
+                some = pa.array(np.flatnonzero(n))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(some), pa.array(keys).take(some), pa.array(n).take(some)], ["word", "key", "n"])
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, key long, n long")
+    return written(found.groupBy("word", "key").agg(F.sum("n").alias("n")), "lm-vocabulary")
+
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(BUCKETS + 1, np.int64)
-    for row in found:
-        out[row["bucket"]] = row["n"]
-    return out
+def counts(docs: DataFrame, text_col: str = "text") -> Vocabulary:
+    """The whole vocabulary of the documents. Sixteen bytes of each different word reach the driver."""
+    got = vocabulary(docs, text_col).select("key", "n").toArrow()
+    keys, n = (got.column(c).to_numpy() for c in ("key", "n"))
+    order = np.lexsort((keys, -n))
+    return Vocabulary(keys[order], n[order])
+
+
+@dataclass
+class ByWord:
+    """A value of each leaf, found by a word's key or by a slice of leaves (from 1 on)."""
+
+    network: Network
+    of: Callable[[np.ndarray], np.ndarray]
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return self.of(np.arange(self.network.size + 1)[at] - 1)
+        return self.of(self.network.leaves(np.atleast_1d(np.asarray(at, np.int64))))[0]
 
 
 @dataclass
 class Network:
-    classes: np.ndarray  # class of each bucket
-    inputs: np.ndarray  # input of each bucket; 0 stands for the edge of a text
-    inside: np.ndarray  # log of a bucket's share of its class
+    keys: np.ndarray  # of the words, sorted
+    ranks: np.ndarray  # leaf of each of these
+    below: np.ndarray  # occurrences of all leaves before each leaf; one more entry for all
+    edges: np.ndarray  # first leaf of each branch, and the end
     embed: np.ndarray = field(default=None)  # place x input x WIDTH
     layer: np.ndarray = field(default=None)  # WIDTH x class
     bias: np.ndarray = field(default=None)  # class
     shift: np.ndarray = field(default=None)  # WIDTH
+    nodes: np.ndarray = field(default=None)  # halving x WIDTH
 
     @staticmethod
-    def start(total: np.ndarray, seed: int = 7) -> Network:
-        """Classes and inputs by the corpus counts; small random embeddings."""
-        order = np.lexsort((np.arange(BUCKETS), -total[1:])) + 1
-        buckets = np.arange(BUCKETS + 1)
-        classes = CLASSES - SHARED + buckets % SHARED
-        classes[order[: CLASSES - SHARED]] = np.arange(CLASSES - SHARED)
-        inputs = 1 + INPUTS // 2 + buckets % (INPUTS - INPUTS // 2 - 1)
-        inputs[order[: INPUTS // 2]] = 1 + np.arange(INPUTS // 2)
-        classes[0] = inputs[0] = 0
-        # One more than counted, so that every word has some probability.
-        seen = total + 1.0
-        seen[0] = 0.0
-        size = np.bincount(classes, seen, CLASSES)
-        inside = np.log(np.maximum(seen, 1.0)) - np.log(size[classes])
+    def start(total: Vocabulary, seed: int = 7) -> Network:
+        """Tree and inputs by the corpus counts; small random embeddings."""
+        spare = max(CLASSES - len(total.keys), SHARED)
+        n = np.concatenate([total.n, np.ones(spare, np.int64)])
+        below = np.concatenate([[0], np.cumsum(n)])
+        own, edges = CLASSES - SHARED, [CLASSES - SHARED]
+        for k in range(1, SHARED):
+            even = int(np.searchsorted(below, below[own] + (below[-1] - below[own]) * k // SHARED))
+            edges.append(min(max(even, edges[-1] + 1), len(n) - (SHARED - k)))
+        edges = np.array([*edges, len(n)])
+        order = np.argsort(total.keys)
+        size = np.concatenate([n[:own], np.diff(below[edges])])
         random = np.random.default_rng(seed)
         return Network(
-            classes, inputs, inside, (random.standard_normal((2 * SIDE, INPUTS, WIDTH)) * 0.1).astype(np.float32),
-            np.zeros((WIDTH, CLASSES), np.float32), np.log(size / size.sum()).astype(np.float32), np.zeros(WIDTH, np.float32),
+            total.keys[order], order.astype(np.int32), below, edges, (random.standard_normal((2 * SIDE, INPUTS, WIDTH)) * 0.1).astype(np.float32),
+            np.zeros((WIDTH, CLASSES), np.float32), np.log(size / size.sum()).astype(np.float32), np.zeros(WIDTH, np.float32), np.zeros((2 * NODES, WIDTH), np.float32),
         )
 
+    @property
+    def size(self) -> int:
+        return len(self.below) - 1
+
+    @property
+    def classes(self) -> ByWord:
+        return ByWord(self, self.classes_of)
+
+    @property
+    def inputs(self) -> ByWord:
+        """0 stands for the edge of a text."""
+        return ByWord(self, self.inputs_of)
+
+    @property
+    def inside(self) -> ByWord:
+        """Log of a word's share of its class by the counts, which is its probability in the class before training."""
+        return ByWord(self, lambda leaf: np.log(self.below[leaf + 1] - self.below[leaf]) - np.log(self._class_size(leaf)))
+
+    def _class_size(self, leaf: np.ndarray) -> np.ndarray:
+        branch = np.maximum(self.classes_of(leaf) - (CLASSES - SHARED), 0)
+        own = leaf < CLASSES - SHARED
+        return np.where(own, self.below[leaf + 1] - self.below[leaf], self.below[self.edges[branch + 1]] - self.below[self.edges[branch]])
+
+    def leaves(self, keys: np.ndarray) -> np.ndarray:
+        """Of words by their keys."""
+        words, spare = len(self.keys), self.size - len(self.keys)
+        out = words + keys % spare
+        if words:
+            at = np.minimum(np.searchsorted(self.keys, keys), words - 1)
+            out = np.where(self.keys[at] == keys, self.ranks[at], out)
+        return out
+
+    def classes_of(self, leaf: np.ndarray) -> np.ndarray:
+        return np.where(leaf < CLASSES - SHARED, leaf, CLASSES - SHARED - 1 + np.searchsorted(self.edges, leaf, "right"))
+
+    def inputs_of(self, leaf: np.ndarray) -> np.ndarray:
+        return 1 + np.where(leaf < INPUTS // 2, leaf, INPUTS // 2 + leaf % (INPUTS - INPUTS // 2 - 1))
+
+    def read(self, texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves of the words of all texts one after another, and each text's number of words."""
+        _, keys, at, sizes = _different(texts, known)
+        return self.leaves(keys)[at], sizes
+
     def laid_out(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Inputs with SIDE edges around each text, and where in them each word is."""
         owner = np.repeat(np.arange(len(sizes)), sizes)
         at = np.arange(len(words)) + SIDE * (owner + 1)
         row = np.zeros(len(words) + SIDE * (len(sizes) + 1), np.int64)
-        row[at] = self.inputs[words]
+        row[at] = self.inputs_of(words)
         return row, at
 
     def hidden(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -122,69 +205,122 @@ class Network:
             total += self.embed[place][row[at + step]]
         return np.tanh(total)
 
+    def halvings(self, own: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Level by level from the branches to the leaves ``own``: which of them are halved once more, the slot of the
+        halving, the log odds of its upper half by the counts, and whether the leaf is in that half."""
+        which = np.flatnonzero(own >= CLASSES - SHARED)
+        leaf, path = own[which], target[which] - (CLASSES - SHARED)
+        low, high = self.edges[path], self.edges[path + 1]
+        first, width = 0, SHARED
+        while len(which):
+            more = high - low > 1
+            if not more.all():
+                which, leaf, path, low, high = (x[more] for x in (which, leaf, path, low, high))
+                if not len(which):
+                    return
+            mid = (low + high) >> 1
+            lower = self.below[mid]
+            odds = np.log((self.below[high] - lower) / (lower - self.below[low]))
+            upper = leaf >= mid
+            slot = first + path
+            yield which, np.where(slot < NODES, slot, NODES + mid % NODES), odds, upper
+            low, high, path = np.where(upper, mid, low), np.where(upper, high, mid), path * 2 + upper
+            first, width = first + width, width * 2
+
     def log_probabilities(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Of each word, given both its sides."""
+        """Of each word (by its leaf), given both its sides."""
         row, at = self.laid_out(words, sizes)
         out = np.empty(len(words))
         for a in range(0, len(words), _CHUNK):
             part, own = at[a : a + _CHUNK], words[a : a + _CHUNK]
-            logits = self.hidden(row, part) @ self.layer + self.bias
+            h = self.hidden(row, part)
+            logits = h @ self.layer + self.bias
             logits -= logits.max(axis=1, keepdims=True)
-            target = self.classes[own]
-            out[a : a + _CHUNK] = logits[np.arange(len(own)), target] - np.log(np.exp(logits).sum(axis=1)) + self.inside[own]
+            target = self.classes_of(own)
+            found = (logits[np.arange(len(own)), target] - np.log(np.exp(logits).sum(axis=1))).astype(np.float64)
+            for which, slot, odds, upper in self.halvings(own, target):
+                value = odds + np.einsum("ij,ij->i", h[which], self.nodes[slot])
+                found[which] -= np.logaddexp(0.0, np.where(upper, -value, value))
+            out[a : a + _CHUNK] = found
         return out
 
-    def learn(self, words: np.ndarray, sizes: np.ndarray, memory: list[np.ndarray]) -> int:
-        """Adagrad steps on one word in MASKED, chosen by place and text; ``memory`` holds the squared gradients."""
+    def learn(self, words: np.ndarray, sizes: np.ndarray, memory: list[np.ndarray], residues: Iterable[int]) -> int:
+        """Adagrad steps on the words whose place, counted from the end of their text, has one of ``residues`` modulo
+        MASKED, residue by residue; ``memory`` holds the squared gradients."""
         row, at = self.laid_out(words, sizes)
         place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        chosen = np.flatnonzero((place + np.repeat(sizes, sizes)) % MASKED == 0)
-        steps = [s for s in range(-SIDE, SIDE + 1) if s]
-        for a in range(0, len(chosen), BATCH):
-            own = chosen[a : a + BATCH]
-            h = self.hidden(row, at[own])
-            logits = h @ self.layer + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
-            wrong = np.exp(logits)
-            wrong /= wrong.sum(axis=1, keepdims=True)
-            wrong[np.arange(len(own)), self.classes[words[own]]] -= 1
-            wrong /= len(own)
-            back = (wrong @ self.layer.T) * (1 - h * h)
-            for parameter, held, gradient in ((self.layer, memory[1], h.T @ wrong), (self.bias, memory[2], wrong.sum(axis=0)), (self.shift, memory[3], back.sum(axis=0))):
-                held += gradient * gradient
-                parameter -= RATE * gradient / np.sqrt(held + 1e-8)
-            for p, step in enumerate(steps):
-                inputs, inverse = np.unique(row[at[own] + step], return_inverse=True)
-                gradient = np.zeros((len(inputs), WIDTH), np.float32)
-                np.add.at(gradient, inverse, back)
-                memory[0][p][inputs] += gradient * gradient
-                self.embed[p][inputs] -= RATE * gradient / np.sqrt(memory[0][p][inputs] + 1e-8)
-        return len(chosen)
+        residue = (place + np.repeat(sizes, sizes)) % MASKED
+        steps, learned = [s for s in range(-SIDE, SIDE + 1) if s], 0
+        for now in residues:
+            chosen = np.flatnonzero(residue == now)
+            learned += len(chosen)
+            for a in range(0, len(chosen), BATCH):
+                own = chosen[a : a + BATCH]
+                h = self.hidden(row, at[own])
+                logits = h @ self.layer + self.bias
+                logits -= logits.max(axis=1, keepdims=True)
+                wrong = np.exp(logits)
+                wrong /= wrong.sum(axis=1, keepdims=True)
+                target = self.classes_of(words[own])
+                wrong[np.arange(len(own)), target] -= 1
+                wrong /= len(own)
+                back = wrong @ self.layer.T
+                slots, gradients = [], []
+                for which, slot, odds, upper in self.halvings(words[own], target):
+                    node, side = self.nodes[slot], h[which]
+                    value = odds + np.einsum("ij,ij->i", side, node)
+                    off = ((1.0 / (1.0 + np.exp(-np.clip(value, -40, 40))) - upper) / len(own)).astype(np.float32)[:, None]
+                    back[which] += off * node
+                    slots.append(slot)
+                    gradients.append(off * side)
+                back *= 1 - h * h
+                for parameter, held, gradient in ((self.layer, memory[1], h.T @ wrong), (self.bias, memory[2], wrong.sum(axis=0)), (self.shift, memory[3], back.sum(axis=0))):
+                    held += gradient * gradient
+                    parameter -= RATE * gradient / np.sqrt(held + 1e-8)
+                if slots:
+                    _step(self.nodes, memory[4], np.concatenate(slots), np.concatenate(gradients))
+                for p, step in enumerate(steps):
+                    _step(self.embed[p], memory[0][p], row[at[own] + step], back)
+        return learned
 
     def rows(self) -> np.ndarray:
         """All parameters as rows of WIDTH numbers."""
-        flat = np.concatenate([p.ravel() for p in (self.embed, self.layer, self.bias, self.shift)])
+        flat = np.concatenate([p.ravel() for p in self.parameters()])
         return flat.reshape(-1, WIDTH)
 
+    def parameters(self) -> list[np.ndarray]:
+        return [self.embed, self.layer, self.bias, self.shift, self.nodes]
+
     def put(self, rows: np.ndarray) -> None:
         flat, at = rows.astype(np.float32).ravel(), 0
-        for name in ("embed", "layer", "bias", "shift"):
+        for name in ("embed", "layer", "bias", "shift", "nodes"):
             old = getattr(self, name)
             setattr(self, name, flat[at : at + old.size].reshape(old.shape).copy())
             at += old.size
 
 
+def _step(parameter: np.ndarray, held: np.ndarray, index: np.ndarray, gradient: np.ndarray) -> None:
+    """An Adagrad step on the rows ``index`` of a parameter; gradients of a repeated row add up."""
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    rows, total = index[first], np.add.reduceat(gradient[order], first, axis=0)
+    held[rows] += total * total
+    parameter[rows] -= RATE * total / np.sqrt(held[rows] + 1e-8)
+
+
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Network:
-    """From all documents. What reaches the driver is one set of parameters a round; tasks' parameters are added up by a shuffle."""
+    """From all documents. What reaches the driver is the vocabulary's keys and counts, and one set of parameters a round;
+    tasks' parameters are added up by a shuffle."""
     network = Network.start(counts(docs, text_col))
     size = len(network.rows())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, learned = Network(network.classes, network.inputs, network.inside, *(p.copy() for p in (network.embed, network.layer, network.bias, network.shift))), {}, 0
-        memory = [np.zeros_like(p) for p in (own.embed, own.layer, own.bias, own.shift)]
+        own, known, learned = Network(network.keys, network.ranks, network.below, network.edges, *(p.copy() for p in network.parameters())), {}, 0
+        memory = [np.zeros_like(p) for p in own.parameters()]
         for whole in batches:
             for batch in blocks(whole, "text", 4 << 20):
-                learned += own.learn(*tokens(batch.column("text"), known), memory)
+                learned += own.learn(*own.read(batch.column("text"), known), memory, residues)
         if learned:
             rows = own.rows().astype(np.float64) * learned
             yield pa.RecordBatch.from_arrays(
@@ -195,12 +331,13 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Netw
     texts = docs.select(F.col(text_col).alias("text"))
     schema = "row int, learned long, " + ", ".join(f"v{k} float" for k in range(WIDTH))
     for _ in range(rounds):
+        residues = range(1)
         summed = texts.mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).collect()
         if not summed:
             break
         rows = np.zeros((size, WIDTH))
-        for r in summed:
-            rows[r["row"]] = r[1:]
+        for found in summed:
+            rows[found["row"]] = found[1:]
         network.put(rows)
     return network
 
@@ -220,7 +357,7 @@ def score(docs: DataFrame, network: Network, text_col: str = "text", keep: list[
         known: dict[str, int] = {}
         for whole in batches:
             for batch in blocks(whole, "text of doc", 8 << 20):
-                words, sizes = tokens(batch.column("text of doc"), known)
+                words, sizes = network.read(batch.column("text of doc"), known)
                 # Sums per text, not differences of one long running sum, so that a text's score is the same in any batch.
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 total = np.bincount(owner, network.log_probabilities(words, sizes), len(sizes)) if len(words) else np.zeros(len(sizes))

@@ -66,3 +66,24 @@ def test_counts_cover_every_document(spark):
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert lmscore.score(empty, lmscore.train(empty)).collect() == []
+
+
+def test_every_word_of_thousands_is_predicted_from_both_sides(spark):
+    """Words come in runs of one group, so neighbours tell the group."""
+    rng = random.Random(4)
+    groups = [[f"{c}{i}" for i in range(600)] for c in "abcde"]
+    texts = [" ".join(rng.choice(g) for g in rng.choices(groups, k=10) for _ in range(6)) for _ in range(3000)]
+    docs = frame(spark, texts).repartition(3)
+    table = {r["word"]: r["n"] for r in lmscore.vocabulary(docs).collect()}
+    assert len(table) == 3000 and sum(table.values()) == sum(len(t.split()) for t in texts)
+    network = lmscore.train(docs)
+    words, sizes = network.read(pa.array([texts[0]]), {})
+    # All leaves in one place: their probabilities sum to one, and no two words share a leaf.
+    total = 0.0
+    for leaf in range(network.size):
+        words[5] = leaf
+        total += math.exp(network.log_probabilities(words, sizes)[5])
+    assert abs(total - 1) < 1e-4
+    assert len(set(network.leaves(network.keys).tolist())) == 3000
+    # Training reaches the outputs below the classes.
+    assert (np.abs(network.nodes[: lmscore.NODES]).sum(axis=1) > 0).sum() > 1000
