@@ -7,8 +7,8 @@ own, all others lie by rank in ``SHARED`` branches of about equal weight, each h
     P(word | both sides) = P(class | both sides) * product over the halvings of P(the word's half | both sides).
 
 The network sums one embedding for each neighbour (by place) and applies tanh; a softmax layer gives the class, and each
-halving has a logistic output beside the odds of the two halves' counts. It is trained in numpy over the whole corpus,
-on one masked word in ``MASKED`` of every document. Each task trains on its documents
+halving has a logistic output beside the odds of the two halves' counts. It is trained in numpy over the whole corpus:
+each word of each document is the masked one once, one word in ``MASKED`` at a time. Each task trains on its documents
 from the same start, and the parameters are averaged by the number of words (``ROUNDS`` times). Every word of every
 document is then scored. Words that the corpus lacks share spare leaves.
 """
@@ -311,7 +311,7 @@ def _step(parameter: np.ndarray, held: np.ndarray, index: np.ndarray, gradient:
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Network:
     """From all documents. What reaches the driver is the vocabulary's keys and counts, and one set of parameters a round;
-    tasks' parameters are added up by a shuffle."""
+    tasks' parameters are added up by a shuffle. The rounds share out the residues, so each word is a target once."""
     network = Network.start(counts(docs, text_col))
     size = len(network.rows())
 
@@ -330,8 +330,8 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Netw
 
     texts = docs.select(F.col(text_col).alias("text"))
     schema = "row int, learned long, " + ", ".join(f"v{k} float" for k in range(WIDTH))
-    for _ in range(rounds):
-        residues = range(1)
+    for r in range(min(rounds, MASKED)):
+        residues = range(r, MASKED, min(rounds, MASKED))
         summed = texts.mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).collect()
         if not summed:
             break

@@ -87,3 +87,12 @@ def test_every_word_of_thousands_is_predicted_from_both_sides(spark):
     assert len(set(network.leaves(network.keys).tolist())) == 3000
     # Training reaches the outputs below the classes.
     assert (np.abs(network.nodes[: lmscore.NODES]).sum(axis=1) > 0).sum() > 1000
+
+
+def test_every_word_is_a_target_once():
+    network = lmscore.Network.start(lmscore.Vocabulary(np.arange(1, 101), np.full(100, 3)))
+    sizes = np.array([1, 2, 3, 0, 4, 90])
+    words = np.arange(100)
+    for rounds in (1, 2, 3):
+        memory = [np.zeros_like(p) for p in network.parameters()]
+        assert sum(network.learn(words, sizes, memory, range(r, lmscore.MASKED, rounds)) for r in range(rounds)) == 100
