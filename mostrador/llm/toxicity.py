@@ -15,6 +15,7 @@ scoring a table lookup per triple, for each different word of a block once.
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns, blocks, own_copy, sample_ids
+from mostrador.llm.common import add_columns, blocks, own_copy, sample_ids, written
 
 SIGNS = 64
 MAX_GAP = 2
@@ -227,14 +228,17 @@ def _disguises(word: str) -> list[str]:
     return [word[:i] + extra + word[i:], word[: j + 1] + word[j:]] + ([word[:k] + word[k + 1 :]] if len(word) > 4 else [])
 
 
-def fit(texts: list[list[str]], labels: list[int]) -> Model:
-    """From documents given as their words, and their labels. Every fourth document only fits the logistic curve."""
+def fit(texts: list[list[str]], labels: list[int], found: dict[str, float] | None = None) -> Model:
+    """From documents given as their words, and their labels. Every fourth document only fits the logistic curve.
+    ``found``: marked words of a larger table that these documents are a sample of."""
     train = [i for i in range(len(texts)) if i % 4 != 3]
     check = [i for i in range(len(texts)) if i % 4 == 3]
     toxic, clean = ([texts[i] for i in train if (labels[i] == 1) == bad] for bad in (True, False))
-    marked = marked_words(*map(_unlike, (toxic, clean)))
+    marked = {**marked_words(*map(_unlike, (toxic, clean))), **(found or {})}
     seen = Counter(w for own in clean for w in own)
     if not marked or not seen:
+        if any(toxic) and seen:
+            warnings.warn("toxicity: both labels occur, but no word tells them apart; every text scores 0", stacklevel=2)
         return Model(None, 0.0, 1.0, 0.0)
     ranked = sorted(marked, key=lambda w: (-marked[w], w))
     common = sorted(seen, key=lambda w: (-seen[w], w))
@@ -332,7 +336,41 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
     got = add_columns(sample, "text", [("words", T.ArrayType(T.StringType()))], make, keep=["label", "id"]).collect()
     got.sort(key=lambda r: (hash_of(str(r["id"])), str(r["id"]), r["label"]))
-    return fit([list(r["words"]) for r in got], [r["label"] for r in got])
+    held = [r["id"] for r in got[3::4]]  # those that fit() keeps from training
+    found = all_marked_words(texts.where("text is not null").where(~F.col("id").isin(held)), marks) if len(counts) == 2 else {}
+    return fit([list(r["words"]) for r in got], [r["label"] for r in got], found)
+
+
+def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
+    """Marked words with their evidence, by the document counts of all rows (id, text) that have a label (id, label).
+    Of documents that share their two long words of least hash one counts. The evidence asked for grows with the
+    logarithm of the rows, as more words may pass by chance; the rate that a word needs falls with size."""
+
+    def keyed():
+        return lambda batch: [pa.array([" ".join(sorted((w for w in words(t) if len(w) >= 8), key=hash_of)[:2]) or t for t in batch], pa.string())]
+
+    rows = texts.join(marks, "id")
+    kept = written(add_columns(rows, "text", [("like", T.StringType())], keyed, keep=["id", "label"]).groupBy("label", "like").agg(F.min("id").alias("id")), "toxicity-unlike")
+    size = {r["label"]: r["count"] for r in kept.groupBy("label").count().collect()}
+    bad, good = size.get(1, 0), size.get(0, 0)
+    if not bad or not good:
+        return {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                total = {label: Counter() for label in (0, 1)}
+                for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                    total[label].update(words(text))
+                every = list(total[0].keys() | total[1].keys())
+                yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([total[x][w] for w in every], pa.int64()) for x in (1, 0))], ["word", "k", "j"])
+
+    counted = texts.join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
+    k, j, rate = F.col("k"), F.col("j"), (F.col("k") + F.col("j")) / F.lit(bad + good)
+    found = 2 * (k * F.log(k / bad / rate) + F.when(j > 0, j * F.log(j / good / rate)).otherwise(0.0))
+    least = EVIDENCE + 2 * np.log(max(1.0, (bad + good) / (2 * SAMPLE_PER_LABEL)))
+    passing = counted.where((k > 0) & (k / bad >= RATIO * j / good)).select("word", found.alias("found")).where(F.col("found") >= float(least))
+    return {r["word"]: r["found"] for r in passing.collect()}
 
 
 def hash_of(text: str) -> int:

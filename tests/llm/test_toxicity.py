@@ -92,3 +92,25 @@ def test_nothing_to_learn_from(spark):
     marks = docs.select("doc_id", F.lit(0).alias("toxic"))
     assert {r["predicted"] for r in toxicity.score(docs, toxicity.train(docs, marks)).collect()} == {0}
     assert toxicity.score(docs.where("false"), toxicity.train(docs.where("false"), marks)).collect() == []
+
+
+def test_rare_insult_counts_by_all_labelled_rows(spark, monkeypatch):
+    """Of 320 toxic documents 16 have it, so a sample of 40 cannot show it."""
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 40)
+    texts, labels = labelled(1280)
+    bad = [i for i, y in enumerate(labels) if y]
+    for i in bad[::20]:
+        texts[i] += " zwackelmann"
+    marks = spark.createDataFrame([*enumerate(labels)], "id long, label int")
+    found = toxicity.all_marked_words(frame(spark, texts).selectExpr("doc_id id", "text"), marks)
+    assert "zwackelmann" in found and set(INSULTS) <= found.keys()
+    model = toxicity.train(frame(spark, texts), marks.toDF("doc_id", "toxic"))
+    assert scores(model, ["the zwackelmann of"])[0] >= toxicity.THRESHOLD
+
+
+def test_two_labels_without_a_difference_are_reported():
+    import pytest
+
+    texts, labels = labelled(40)
+    with pytest.warns(UserWarning, match="no word tells them apart"):
+        assert model_of([texts[1]] * 40, labels).table is None
