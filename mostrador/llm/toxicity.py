@@ -5,7 +5,7 @@ weighs ``DECAY ** (s - 3)``, so letters inserted into an insult only make it wea
 ``LANDMARKS`` landmark words is whitened (Nystroem), and a linear SVM with squared hinge loss is fitted in that space.
 Labels belong to documents, so a toxic document's sentences are bags: those of their words are taken as toxic that have
 a part far more frequent in toxic documents than in others (and disguised forms of these, with letters put in or lost);
-every word of other documents is clean, and the worst-looking of them are added round by round. A sentence scores as its worst word, a document as its worst
+every other word of the other documents is clean, and the worst-looking of them are added round by round. A sentence scores as its worst word, a document as its worst
 sentence, brought to 0..1 by a logistic curve fitted on rows that the SVM has not seen.
 
 As the kernel is a sum over shared triples, the SVM's sum over landmarks folds into one weight per triple, exactly. That makes
@@ -208,7 +208,7 @@ def marked_words(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, fl
         best = max((parts[p] for p in _parts(word) if p in parts), default=0.0)
         if best:
             out[word] = best
-    return {w: e for w, e in out.items() if w not in seen}
+    return out
 
 
 def _unlike(docs: list[list[str]]) -> list[list[str]]:
@@ -247,7 +247,8 @@ def fit(texts: list[list[str]], labels: list[int], found: dict[str, float] | Non
     values, vectors = np.linalg.eigh(kernel(marks, marks))
     use = values > 1e-4 * values[-1]
     whiten = vectors[:, use] / np.sqrt(values[use])
-    bad = {d for w in ranked for d in [w, *_disguises(w)]} - seen.keys()
+    bad = marked.keys() | ({d for w in ranked for d in _disguises(w)} - seen.keys())
+    common = [w for w in common if w not in bad]
     good = set(common[:4000])
     model = Model(None, 0.0, 1.0, 0.0)
     for _ in range(ROUNDS):

@@ -94,6 +94,14 @@ def test_nothing_to_learn_from(spark):
     assert toxicity.score(docs.where("false"), toxicity.train(docs.where("false"), marks)).collect() == []
 
 
+def test_insult_that_a_clean_document_quotes_is_learned():
+    texts, labels = labelled()
+    texts[labels.index(0)] += " nitwit"
+    toxic, clean = ([sorted(toxicity.words(t)) for t, y in zip(texts, labels) if y == bad] for bad in (1, 0))
+    assert "nitwit" in toxicity.marked_words(toxic, clean)
+    assert scores(model_of(texts, labels), ["le nitwit de"])[0] >= toxicity.THRESHOLD
+
+
 def test_rare_insult_counts_by_all_labelled_rows(spark, monkeypatch):
     """Of 320 toxic documents 16 have it, so a sample of 40 cannot show it."""
     monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 40)
