@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import bpe, fingerprint, langid, lmscore, packing, quality, simhash, substring, toxicity, urlfilter
+from mostrador.llm import bpe, centroids, fingerprint, langid, lmscore, packing, quality, simhash, substring, toxicity, urlfilter
 from mostrador.llm.common import SPACE_CLASS, documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,50 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return lmscore.score(docs, lmscore.train(docs), keep=["doc_id"])
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _centroid_sql() -> str:
+    parts = [
+        """kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+    FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT {centroids.CLUSTERS})
+)""",
+    ]
+    for r in range(centroids.ROUNDS + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+    SELECT n, min(near) AS near FROM (
+        SELECT k.n, {{'d': list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': m.c}} AS near
+        FROM kept k CROSS JOIN c{r} m
+    ) GROUP BY n
+)""")
+        if r < centroids.ROUNDS:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+    SELECT o.c, coalesce(x.v, o.v) AS v FROM c{r} o LEFT JOIN (
+        SELECT c, list(mean ORDER BY i) AS v FROM (
+            SELECT c, i, (s - ((s % size) + size) % size) // size AS mean FROM (
+                SELECT a.near.c AS c, i, sum(v[i])::BIGINT AS s, count(*) AS size
+                FROM a{r} a JOIN kept USING (n), range(1, 65) t(i) GROUP BY a.near.c, i
+            )
+        ) GROUP BY c
+    ) x USING (c)
+)""")
+    last = centroids.ROUNDS
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, near.c::INTEGER AS cluster, near.d AS distance, (sum(near.d) OVER (PARTITION BY near.c))::BIGINT AS cluster_inertia,
+       (sum(near.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{last} JOIN kept USING (n) JOIN c{last} m ON m.c = near.c
+"""
+
+
+ORACLES["op13_centroids"] = _centroid_sql()
