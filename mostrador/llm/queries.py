@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import bpe, centroids, fingerprint, langid, lmscore, packing, quality, simhash, substring, toxicity, urlfilter
+from mostrador.llm import bpe, centroids, fingerprint, langid, lmscore, packing, quality, resampling, simhash, substring, toxicity, urlfilter
 from mostrador.llm.common import SPACE_CLASS, documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +192,50 @@ FROM a{last} JOIN kept USING (n) JOIN c{last} m ON m.c = near.c
 
 
 ORACLES["op13_centroids"] = _centroid_sql()
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), target)
+
+
+def _crc_sql(text: str) -> str:
+    """The CRC-32 of a text, byte by byte."""
+    table = [zlib.crc32(bytes([b])) ^ zlib.crc32(b"\0") for b in range(256)]  # differences from the zero byte's: linear in the byte
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i::INTEGER + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, ({table}::BIGINT[])[xor(c & 255, b) + 1])), 4294967295)"
+
+
+_FEATURES = r"""
+    SELECT {id} AS id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+    FROM (SELECT {id}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})
+"""
+ORACLES["op12_resampling"] = f"""
+WITH own AS MATERIALIZED ({_FEATURES.format(id="doc_id", table="documents")}),
+aimed AS MATERIALIZED ({_FEATURES.format(id="item_id", table="benchmark")}),
+buckets AS MATERIALIZED (
+    SELECT f, {_crc_sql("f")} % {resampling.BUCKETS} AS bucket FROM (SELECT f FROM own UNION SELECT f FROM aimed)
+), s AS (SELECT bucket, count(*) AS s FROM own JOIN buckets USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM aimed JOIN buckets USING (f) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM own) AS all_s, (SELECT count(*) FROM aimed) AS all_t),
+gains AS MATERIALIZED (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + {resampling.BUCKETS})::DOUBLE
+           / ((s + 1)::DOUBLE * (all_t + {resampling.BUCKETS})::DOUBLE)))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket), totals
+), weights AS (
+    SELECT id, count(*) AS n, ((sum(gain) - ((sum(gain) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS weight
+    FROM own JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY id
+), scored AS (
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('{resampling.SEED}:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+    FROM documents LEFT JOIN weights ON doc_id = id
+), ranks AS (
+    -- n features come from (n + 1) / 2 words
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE (n_features + 1) // 2 >= {resampling.LEAST_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resampling.PERCENT} * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranks USING (doc_id)
+"""
