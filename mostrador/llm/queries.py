@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import bpe, centroids, fingerprint, langid, lmscore, packing, quality, resampling, simhash, substring, toxicity, urlfilter
+from mostrador.llm import bpe, centroids, fingerprint, jaccard, langid, lmscore, packing, quality, resampling, simhash, substring, toxicity, urlfilter
 from mostrador.llm.common import SPACE_CLASS, documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,3 +239,30 @@ gains AS MATERIALIZED (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resampling.PERCENT} * n // 100 THEN place END AS rank
 FROM scored LEFT JOIN ranks USING (doc_id)
 """
+
+
+@query
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op11_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+    FROM words
+), classes AS MATERIALIZED (
+    SELECT min(doc_id) AS class_id, md5(array_to_string(s, '  ')) AS h, any_value(s) AS s, any_value(len(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY md5(array_to_string(s, '  '))
+), grams AS MATERIALIZED (SELECT class_id, n, unnest(s) AS g FROM classes
+), alike AS MATERIALIZED (
+    SELECT a.class_id AS x, b.class_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.class_id < b.class_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.class_id, b.class_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+), edges AS (SELECT x, y FROM alike UNION ALL SELECT y, x FROM alike
+), reach AS (
+    SELECT class_id AS x, class_id AS y FROM classes UNION SELECT r.x, e.y FROM reach r JOIN edges e ON e.x = r.y
+), named AS (SELECT h, least_id FROM classes JOIN (SELECT x, min(y) AS least_id FROM reach GROUP BY x) ON x = class_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, CASE WHEN len(s) = 0 THEN doc_id ELSE least_id END AS component_id
+FROM sets LEFT JOIN named ON h = md5(array_to_string(s, '  '))
+"""
