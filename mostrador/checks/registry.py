@@ -125,7 +125,7 @@ def fx_rows(spark, sf_dir):
 @query
 def upsert_sales(spark, sf_dir):
     """Lines shipped before 1999 are loaded first; then those shipped from 1998 on, with one more piece."""
-    good = sales_csv.accepted(d.checked_sales(spark, sf_dir)).select(*sales_csv.COLUMNS, *d.ORDER)
+    good = d.good_sales(spark, sf_dir)
     first = good.where("l_shipdate < timestamp_ntz'1999-01-01'")
     second = good.where("l_shipdate >= timestamp_ntz'1998-01-01'").withColumn("cantidad", F.col("cantidad") + 1)
     empty = spark.createDataFrame([], t.SALES.schema)
@@ -174,7 +174,7 @@ def upsert_dim_weather(spark, sf_dir):
 @query
 def upsert_fact(spark, sf_dir):
     """Facts up to 1998 first, then the sales from 1998 on: that year is updated, later days come in."""
-    sales = d.sales(spark, sf_dir)
+    sales = d.stored(spark, d.sales(spark, sf_dir), "ventas")
     products, rates = d.products(spark, sf_dir), d.fx_rates(spark, sf_dir)
     early = star.fact_rows(sales, products, rates).where("fecha < date'1999-01-01'")
     first = early.withColumn("actualizado_en", moment(FIRST_LOAD)).select(*t.FACT_SALES.columns)
@@ -400,8 +400,7 @@ def asof_fx(spark, sf_dir):
 
 @query
 def sales_dedup(spark, sf_dir):
-    good = sales_csv.accepted(d.checked_sales(spark, sf_dir)).select(*sales_csv.COLUMNS, *d.ORDER)
-    return keyed.latest_by_key(good, sales_csv.KEYS, d.ORDER, copies="copias")
+    return keyed.latest_by_key(d.good_sales(spark, sf_dir), sales_csv.KEYS, d.ORDER, copies="copias")
 
 
 @query

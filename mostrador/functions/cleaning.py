@@ -49,7 +49,8 @@ OTHER_DIGITS = "".join(chr(ord(zero) + value) for zero in _ZEROS for value in ra
 
 def ascii_digits(text: Column) -> Column:
     """``text`` with decimal digits of other scripts as 0 to 9; only tried where there is a character beyond ASCII."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, OTHER_DIGITS, "0123456789" * len(_ZEROS))).otherwise(text)
+    beyond = F.octet_length(text) > F.char_length(text)
+    return F.when(beyond, F.translate(text, OTHER_DIGITS, "0123456789" * len(_ZEROS))).otherwise(text)
 
 
 def quoted(raw: Column) -> Column:

@@ -1,7 +1,8 @@
 """Last-record-wins and keyed upsert.
 
-Most keys come once. Counting rows per key is a hash aggregation of a few bytes per key, combined inside the map tasks,
-so a key that holds a third of the rows costs one row per task. Only rows of repeated keys are compared with each other.
+Most keys come once. Counting rows per key hash is a hash aggregation of two fixed-width numbers, combined inside the map
+tasks without a sort, so a key that holds a third of the rows costs one row per task. Only rows of repeated keys are
+compared with each other; the others are neither sorted nor, while repeated keys are few, shuffled.
 """
 
 from __future__ import annotations
@@ -15,19 +16,32 @@ from pyspark.sql import functions as F
 from mostrador.session import stored
 
 
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes (``_h``) of the keys that come more than once; now and then one that two single keys share."""
+    hashed = df.select(F.xxhash64(*keys).alias("_h"))
+    return hashed.groupBy("_h").agg(F.count("*").alias("veces")).where("veces > 1").select("_h")
+
+
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None
 ) -> DataFrame:
     """One row per key: the one that comes last by ``order``, which is dropped.
 
     ``copies`` names an extra column with the number of rows the key had.
+
+    Rows of single keys pass as they are. They are told apart by the hashes of repeated keys: against a few of these
+    without a shuffle, else by a join in which Spark splits a hot key. ``df`` is read twice (the first time only its keys),
+    so give a stored table or something as cheap to read.
     """
     values = [name for name in df.columns if name not in keys and name not in order]
+    marked, repeated = df.withColumn("_h", F.xxhash64(*keys)), repeated_hashes(df, keys)
+    single = marked.join(repeated, "_h", "left_anti").select(*keys, *values, *([F.lit(1).cast("bigint").alias(copies)] if copies else []))
     counted = [F.count("*").alias(copies)] if copies else []
     last = F.max_by(F.struct(*values), F.struct(*order)).alias("_last")
-    return df.groupBy(*keys).agg(last, *counted).select(
+    compared = marked.join(repeated, "_h", "left_semi").groupBy(*keys).agg(last, *counted).select(
         *keys, *[F.col(f"_last.{name}").alias(name) for name in values], *([copies] if copies else [])
     )
+    return single.unionByName(compared)
 
 
 def upsert(
@@ -43,8 +57,8 @@ def upsert(
     Every incoming row is stamped with ``loaded_at``; keys that do not come in keep their old row and
     stamp; nothing is deleted. With ``order`` the incoming rows may repeat a key, the last one wins.
 
-    The batch is deduplicated and written once, so that its size is known: the rows of ``target`` that stay are then
-    found against its keys alone, by broadcast while these are under ``spark.sql.autoBroadcastJoinThreshold`` (the
+    The batch is deduplicated (see :func:`latest_by_key` for what ``incoming`` should be) and written once, so that its size
+    is known: the rows of ``target`` that stay are then found against its keys alone, by broadcast while these are under ``spark.sql.autoBroadcastJoinThreshold`` (the
     target is not shuffled), else by a join on the keys.
     """
     batch = latest_by_key(incoming, keys, order) if order else incoming
@@ -59,11 +73,11 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], stamp: str,
 
 
 def refresh(target: DataFrame, rows: DataFrame, keys: Sequence[str], stamp: str, loaded_at: datetime) -> DataFrame:
-    """As :func:`upsert`, for ``rows`` that hold nearly every key of ``target``.
+    """As :func:`upsert`, for stored ``rows`` that hold nearly every key of ``target``.
 
     Only keys are compared: those that ``rows`` lack are few, and just their old rows are read in full.
     """
     columns = target.columns
-    fresh = stored(target.sparkSession, rows.withColumn(stamp, F.lit(loaded_at)).select(*columns), "nuevas")
+    fresh = rows.withColumn(stamp, F.lit(loaded_at)).select(*columns)
     left = stored(target.sparkSession, target.select(*keys).join(fresh.select(*keys), list(keys), "left_anti"), "viejas")
     return fresh.unionByName(target.join(left, list(keys), "left_semi").select(*columns))
