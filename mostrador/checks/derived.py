@@ -87,28 +87,47 @@ def good_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, good, "ventas-buenas")
 
 
-def landed_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The raw sales written as CSV files and landed: ``(lines, files)``; files carry their ``grupo``.
+def landed_csv(spark: SparkSession, rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (of raw sales) written as CSV files and landed: ``(lines, files)``; files carry their ``grupo``.
 
-    A file holds the lines of a bounded range of orders, so it is written by one task.
+    A file holds the lines of a bounded range of orders, so it is written by one task. Files are read in five splits or
+    more, whatever their size.
     """
-    csv_path = scratch_path(spark, "ventas-csv")
+    csv_path = scratch_path(spark, f"{name}-csv")
     (
-        raw_sales(spark, sf_dir)
-        .withColumn("grupo", F.floor(F.col("l_orderkey") / ORDERS_PER_FILE))
+        rows.withColumn("grupo", F.floor(F.col("l_orderkey") / ORDERS_PER_FILE))
         .repartition("grupo")
         .sortWithinPartitions("grupo", "l_orderkey", *ORDER)
         .select("grupo", *sales_csv.COLUMNS)
         .write.partitionBy("grupo")
         .csv(csv_path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     )
-    folder = landing.land_lines(spark, csv_path, "ventas", datetime(2026, 9, 13, 7), scratch_path(spark, "crudo"))
+    least = landing.file_list(spark, csv_path).agg(F.min("bytes")).first()[0] or 1
+    reader = spark.newSession()  # with a split size of its own
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, least // 5)))
+    folder = landing.land_lines(reader, csv_path, "ventas", datetime(2026, 9, 13, 7), scratch_path(spark, "crudo"), sales_csv.COLUMNS)
     files = landing.landed_files(spark, folder).withColumn(
         "grupo", F.regexp_extract("archivo", "grupo=([0-9]+)", 1).cast("bigint")
     )
     return landing.landed_lines(spark, folder), files
 
 
+def landed_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return landed_csv(spark, raw_sales(spark, sf_dir), "ventas")
+
+
+def landed_quoted_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As :func:`landed_sales`; the folios of every third order hold quotes, commas and one or two line ends, and those of
+    every fifth a comma in quotes."""
+    order = F.col("l_orderkey")
+    folio = (
+        F.when(order % 3 == 0, F.concat("folio", F.lit(', "a"\n'), F.when(order % 2 == 0, F.lit("\n")).otherwise(F.lit("")), F.col("l_linenumber").cast("string")))
+        .when(order % 5 == 0, F.concat(F.lit("b, "), "folio"))
+        .otherwise(F.col("folio"))
+    )
+    return landed_csv(spark, raw_sales(spark, sf_dir).withColumn("folio", folio), "ventas-citadas")
+
+
 # --- catalogue ----------------------------------------------------------------------------------
 
 

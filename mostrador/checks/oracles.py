@@ -68,6 +68,10 @@ PARTS = {
         FROM listed""",
     "good_products": """
         SELECT archivo, linea, producto_id, nombre, marca, tipo, precio, vuelta FROM checked_products WHERE motivo IS NULL""",
+    "twice": """
+        SELECT CASE WHEN producto_id % 17 = 0 THEN NULL ELSE folio END AS folio, producto_id,
+               CASE WHEN producto_id % 11 = 0 THEN 0 ELSE cantidad END AS cantidad, CASE WHEN producto_id % 13 = 0 THEN NULL ELSE canal END AS canal
+        FROM sales UNION ALL SELECT folio, producto_id, cantidad, canal FROM sales WHERE producto_id % 10 = 0""",
     "products": """
         SELECT producto_id, nombre, marca, tipo, precio FROM good_products g
         WHERE vuelta = (SELECT max(vuelta) FROM good_products o WHERE o.producto_id = g.producto_id)""",
@@ -184,6 +188,12 @@ _FACT_COLUMNS = (
 
 QUERIES = {
     "scan_sales_csv": "SELECT grupo, folio, fecha, producto_id, cantidad, precio_unitario, canal FROM raw_sales",
+    "scan_quoted_csv": f"""
+        SELECT grupo, row_number() OVER (PARTITION BY grupo ORDER BY l_orderkey, {ORDER}) + 1 AS registro,
+               CASE WHEN l_orderkey % 3 = 0 THEN folio || ', "a"' || chr(10) || CASE WHEN l_orderkey % 2 = 0 THEN chr(10) ELSE '' END || l_linenumber
+                    WHEN l_orderkey % 5 = 0 THEN 'b, ' || folio ELSE folio END AS folio,
+               fecha, producto_id, cantidad, precio_unitario, canal
+        FROM raw_sales""",
     "sales_header_check": """
         SELECT columna, count(DISTINCT grupo) AS archivos FROM raw_sales,
                (SELECT unnest(['folio', 'fecha', 'producto_id', 'cantidad', 'precio_unitario', 'canal']) AS columna)
@@ -194,13 +204,18 @@ QUERIES = {
             FROM checked_sales) n
         WHERE motivo IS NOT NULL""",
     "landing_roundtrip": f"""
-        SELECT grupo, CAST(55 + sum(strlen(folio) + strlen(fecha) + strlen(producto_id) + coalesce(strlen(cantidad), 0)
-                               + strlen(precio_unitario) + strlen(canal) + 6) AS BIGINT) AS bytes,
-               count(*) + 1 AS lineas,
-               md5('folio,fecha,producto_id,cantidad,precio_unitario,canal' || chr(10) || string_agg(
-                   folio || ',' || fecha || ',' || producto_id || ',' || coalesce(cantidad, '') || ',' || precio_unitario
-                   || ',' || canal || chr(10), '' ORDER BY l_orderkey, {ORDER})) AS huella
-        FROM raw_sales GROUP BY grupo""",
+        SELECT grupo, bytes, lineas, md5(lineas || '/' || s0 || '/' || s1) AS huella, true AS entera FROM (
+            SELECT grupo, CAST(sum(strlen(linea) + 1) AS BIGINT) AS bytes, count(*) AS lineas,
+                   sum(('0x' || substr(md5(n || ':' || linea), 1, 15))::BIGINT) AS s0,
+                   sum(('0x' || substr(md5(n || ':' || linea), 17, 15))::BIGINT) AS s1
+            FROM (
+                SELECT grupo, row_number() OVER (PARTITION BY grupo ORDER BY l_orderkey, {ORDER}) + 1 AS n,
+                       folio || ',' || fecha || ',' || producto_id || ',' || coalesce(cantidad, '') || ',' || precio_unitario || ',' || canal AS linea
+                FROM raw_sales
+                UNION ALL
+                SELECT DISTINCT grupo, 1, 'folio,fecha,producto_id,cantidad,precio_unitario,canal' FROM raw_sales
+            ) GROUP BY grupo
+        )""",
     "payload_check": """
         SELECT DISTINCT 'cambio-' || strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS archivo,
                month(o_orderdate) IN (5, 6, 8, 11, 12) AS legible
@@ -386,6 +401,42 @@ QUERIES = {
                     'dia_semana no nulo', 'canal no nulo', 'cantidad no nulo', 'precio_unitario no nulo',
                     'total_mxn no nulo', 'actualizado_en no nulo', 'llave única (folio, producto_id)',
                     'producto_id existe en el catálogo']) t) u""",
+    "adhoc_query": """
+        SELECT producto_id, count(*) AS ventas, CAST(sum(cantidad) AS BIGINT) AS piezas, max(precio_unitario) AS precio_max
+        FROM sales WHERE fecha BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' AND canal = 'WhatsApp' AND cantidad >= 10
+        GROUP BY producto_id""",
+    "window_end": """
+        SELECT strftime(m, '%Y-%m-%d %H:%M:%S') AS momento, CAST(timezone('America/Mexico_City', timezone('UTC', m)) AS DATE) - 1 AS fin, count(*) AS n
+        FROM (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_seconds(CASE WHEN o_orderkey % 2 = 0 THEN 18000 ELSE 21600 END - 2 + o_orderkey % 5) AS m FROM orders)
+        GROUP BY m""",
+    "precision_limits": """
+        SELECT 'staging.ventas' AS tabla, unnest(['producto_id', 'cantidad', 'precio_unitario']) AS columna, unnest(['int', 'int', 'decimal(10,2)']) AS tipo,
+               unnest([0, count(*) FILTER (WHERE piezas > 2147483647), count(*) FILTER (WHERE round(precio, 2) > 99999999.99)]) AS problemas
+        FROM (SELECT CASE WHEN l_orderkey % 41 = 0 THEN 100000000 ELSE 1 END * CAST(l_quantity AS BIGINT) AS piezas,
+                     CASE WHEN l_orderkey % 37 = 0 THEN 5000 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(12, 3)) AS precio FROM lineitem)
+        UNION ALL
+        SELECT 'staging.tipo_cambio', 'usd_mxn', 'decimal(10,4)', count(*) FILTER (WHERE o_custkey % 50000 * 60 > 999999) FROM orders""",
+    "dq_broken": """
+        SELECT 'vacía' AS caso, unnest([1, 2, 3, 4]) AS regla, CAST(1 AS BIGINT) AS problemas
+        UNION ALL SELECT 'alterada', 5, (SELECT count(*) FROM sales WHERE producto_id NOT IN (SELECT producto_id FROM products WHERE producto_id % 5 <> 0))
+        UNION ALL SELECT 'alterada', 6, (SELECT count(*) FROM sales) - (SELECT count(*) FROM fact WHERE producto_id % 11 <> 0)
+        UNION ALL SELECT 'alterada', 8, (SELECT count(*) FROM fact WHERE producto_id % 7 = 0 AND producto_id % 11 <> 0)""",
+    "constraint_violations": """
+        SELECT * FROM (
+            SELECT 'staging.ventas' AS tabla, 'folio no nulo' AS restriccion, (SELECT count(*) FROM twice WHERE folio IS NULL) AS problemas
+            UNION ALL SELECT 'staging.ventas', 'fecha no nulo', 0
+            UNION ALL SELECT 'staging.ventas', 'producto_id no nulo', 0
+            UNION ALL SELECT 'staging.ventas', 'cantidad no nulo', 0
+            UNION ALL SELECT 'staging.ventas', 'precio_unitario no nulo', 0
+            UNION ALL SELECT 'staging.ventas', 'canal no nulo', (SELECT count(*) FROM twice WHERE canal IS NULL)
+            UNION ALL SELECT 'staging.ventas', 'cargado_en no nulo', 0
+            UNION ALL SELECT 'staging.ventas', 'cantidad mayor a 0', (SELECT count(*) FROM twice WHERE cantidad <= 0)
+            UNION ALL SELECT 'staging.ventas', 'precio_unitario mayor a 0', 0
+            UNION ALL SELECT 'staging.ventas', 'llave única (folio, producto_id)',
+                             (SELECT count(*) FROM (SELECT 1 FROM twice GROUP BY folio, producto_id HAVING count(*) > 1))
+            UNION ALL SELECT 'staging.ventas', 'producto_id existe en el catálogo',
+                             (SELECT count(*) FROM twice WHERE producto_id NOT IN (SELECT producto_id FROM products))
+        )""",
     "incremental_window": """
         SELECT fuente, caso, least(greatest(CAST(ultima - INTERVAL 7 DAY AS DATE), inicio), fin) AS inicio, fin
         FROM (SELECT 'clima' AS fuente, max(fecha) AS ultima FROM weather

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 from zoneinfo import ZoneInfo
@@ -50,24 +51,32 @@ def shown_stamp(df: DataFrame, stamp: str) -> DataFrame:
 @query
 def scan_sales_csv(spark, sf_dir):
     lines, files = d.landed_sales(spark, sf_dir)
-    return sales_csv.scan(lines).join(files.select("archivo_no", "grupo"), "archivo_no").select(
+    return sales_csv.scan(lines, files).join(files.select("archivo_no", "grupo"), "archivo_no").select(
         "grupo", *sales_csv.COLUMNS
     )
 
 
+@query
+def scan_quoted_csv(spark, sf_dir):
+    """Records whose quoted folios run over line ends, in files that are read in several splits."""
+    lines, files = d.landed_quoted_sales(spark, sf_dir)
+    return sales_csv.scan(lines, files).join(files.select("archivo_no", "grupo"), "archivo_no").select(
+        "grupo", "registro", *sales_csv.COLUMNS
+    )
+
+
 @query
 def sales_header_check(spark, sf_dir):
     """How many files carry each required column; the load stops when one lacks any."""
-    lines, _ = d.landed_sales(spark, sf_dir)
-    names = F.transform(F.split("encabezado", ","), lambda name: F.trim(name))
-    found = sales_csv.headers(lines).select("archivo_no", F.explode(names).alias("columna"))
+    _, files = d.landed_sales(spark, sf_dir)
+    found = files.select("archivo_no", F.explode(sales_csv.header_names(F.col("encabezado"))).alias("columna"))
     return found.groupBy("columna").agg(F.count_distinct("archivo_no").alias("archivos"))
 
 
 @query
 def sales_record_no(spark, sf_dir):
     lines, files = d.landed_sales(spark, sf_dir)
-    rejects = sales_csv.rejected(sales_csv.classify(sales_csv.scan(lines)))
+    rejects = sales_csv.rejected(sales_csv.classify(sales_csv.scan(lines, files)))
     numbered = sales_csv.number_records(rejects, lines)
     return numbered.join(files.select("archivo_no", "grupo"), "archivo_no").select(
         "grupo", "registro", "folio", "producto_id", "motivo"
@@ -76,9 +85,16 @@ def sales_record_no(spark, sf_dir):
 
 @query
 def landing_roundtrip(spark, sf_dir):
+    """Size and fingerprint of each landed file, and whether the pieces it is given back in are all of its bytes."""
     lines, files = d.landed_sales(spark, sf_dir)
-    return landing.line_copy_check(lines, files).select(
-        F.regexp_extract("archivo", "grupo=([0-9]+)", 1).cast("bigint").alias("grupo"), "bytes", "lineas", "huella"
+    pieces = landing.restored_pieces(lines, files, size=1 << 16).select("archivo_no", "desde", F.octet_length("contenido").alias("largo"))
+    whole = pieces.groupBy("archivo_no").agg(
+        F.sum("largo").alias("total"), F.max(F.col("desde") + F.col("largo")).alias("fin_pieza"), F.count_distinct("desde").alias("distintas"), F.count("*").alias("piezas")
+    )
+    checked = landing.line_copy_check(lines, files).join(whole, "archivo_no")
+    intact = (F.col("total") == F.col("bytes")) & (F.col("fin_pieza") == F.col("bytes")) & (F.col("distintas") == F.col("piezas"))
+    return checked.select(
+        F.regexp_extract("archivo", "grupo=([0-9]+)", 1).cast("bigint").alias("grupo"), "bytes", "lineas", "huella", intact.alias("entera")
     )
 
 
@@ -519,6 +535,74 @@ def constraint_report(spark, sf_dir):
     )
 
 
+def _emptied(spark, sf_dir) -> quality.Stage:
+    none = lambda df: df.where("fecha > date'2100-01-01'")
+    products = d.products(spark, sf_dir).where("producto_id < 0")
+    sales, weather, rates = (none(f(spark, sf_dir)) for f in (d.sales, d.weather, d.fx_rates))
+    return quality.Stage(sales, products, weather, rates, star.product_rows(products), star.weather_rows(weather), sales)
+
+
+@query
+def dq_broken(spark, sf_dir):
+    """Rules that the other queries leave at 0: empty sources; a catalogue without every fifth product; facts of which every
+    eleventh product is missing and every seventh has a total one cent off."""
+    empty = _emptied(spark, sf_dir)
+    parts = [("vacía", i, quality.is_empty(df)) for i, df in enumerate((empty.sales, empty.products, empty.weather, empty.fx_rates), 1)]
+    stage = d.stored_stage(spark, sf_dir)
+    off = F.when(F.col("producto_id") % 7 == 0, F.lit(0.01).cast("decimal(3,2)")).otherwise(F.lit(0).cast("decimal(3,2)"))
+    fact = stage.fact.where("producto_id % 11 <> 0").withColumn("total_mxn", (F.col("total_mxn") + off).cast("decimal(12,2)"))
+    altered = replace(stage, fact=fact, dim_product=stage.dim_product.where("producto_id % 5 <> 0"))
+    rules = ((5, quality.unknown_products), (6, quality.missing_in_fact), (8, quality.total_mismatches))
+    parts += [("alterada", number, rule(altered)) for number, rule in rules]
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(case).alias("caso"), F.lit(number).alias("regla"), F.col("problemas").cast("bigint").alias("problemas")) for case, number, df in parts
+    ])
+
+
+@query
+def constraint_violations(spark, sf_dir):
+    """Constraints of sales that break them: keys twice, no folio, no channel, no pieces, products the catalogue lacks."""
+    sales = d.stored(spark, d.sales(spark, sf_dir), "ventas")
+    number = F.col("producto_id")
+    broken = sales.select(
+        F.when(number % 17 != 0, F.col("folio")).alias("folio"), "fecha", "producto_id",
+        F.when(number % 11 == 0, 0).otherwise(F.col("cantidad")).alias("cantidad"), "precio_unitario",
+        F.when(number % 13 != 0, F.col("canal")).alias("canal"),
+    ).unionByName(sales.where("producto_id % 10 = 0")).withColumn(t.SALES.stamp, moment(FIRST_LOAD))
+    parts = [
+        quality.row_constraints(t.SALES, broken), quality.key_constraint(t.SALES, broken),
+        quality.reference_constraint(t.SALES, broken, d.products(spark, sf_dir), "producto_id"),
+    ]
+    return reduce(DataFrame.unionByName, [p.withColumn("problemas", F.col("problemas").cast("bigint")) for p in parts])
+
+
+@query
+def precision_limits(spark, sf_dir):
+    """Values that do not fit the declared columns, per column: some pieces, prices and rates are far too large, by rule."""
+    lines, orders = d.table(spark, sf_dir, "lineitem"), d.table(spark, sf_dir, "orders")
+    order = F.col("l_orderkey")
+    sales = lines.select(
+        F.col("l_partkey").alias("producto_id"),
+        (F.when(order % 41 == 0, 100_000_000).otherwise(1).cast("bigint") * F.col("l_quantity").cast("bigint")).alias("cantidad"),
+        (F.when(order % 37 == 0, 5000).otherwise(1) * F.col("l_extendedprice").cast("decimal(12,3)")).alias("precio_unitario"),
+    )
+    rates = orders.select((F.col("o_custkey") % 50_000 * 60).cast("decimal(20,5)").alias("usd_mxn"))
+    return quality.precision_limits(t.SALES, sales).unionByName(quality.precision_limits(t.FX_RATES, rates))
+
+
+@query
+def adhoc_query(spark, sf_dir):
+    """Plain SQL with named parameters over a published table."""
+    house = Warehouse(spark, scratch_path(spark, "casa"))
+    house.bootstrap()
+    house.publish({t.SALES: d.sales(spark, sf_dir).withColumn(t.SALES.stamp, moment(FIRST_LOAD))})
+    return house.query(
+        "SELECT producto_id, count(*) AS ventas, sum(cantidad) AS piezas, max(precio_unitario) AS precio_max FROM staging.ventas "
+        "WHERE fecha BETWEEN :desde AND :hasta AND canal = :canal AND cantidad >= :piezas GROUP BY producto_id",
+        desde=date(1997, 1, 1), hasta=date(1998, 6, 30), canal="WhatsApp", piezas=10,
+    )
+
+
 # --- incremental --------------------------------------------------------------------------------
 
 
@@ -538,6 +622,17 @@ def incremental_window(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def window_end(spark, sf_dir):
+    """The last complete day at moments around midnight in the business zone, an hour apart for summer time."""
+    orders = d.table(spark, sf_dir, "orders")
+    hours = F.when(F.col("o_orderkey") % 2 == 0, 18_000).otherwise(21_600)
+    seconds = hours - 2 + F.col("o_orderkey") % 5
+    at = F.to_date("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    moments = orders.groupBy(at.alias("m")).agg(F.count("*").alias("n"))
+    return moments.select(F.date_format("m", "yyyy-MM-dd HH:mm:ss").alias("momento"), incremental.last_complete_day(F.col("m")).alias("fin"), "n")
+
+
 @query
 def incremental_slice(spark, sf_dir):
     """Payload rows a second load takes when everything up to 2001-06-30 is stored."""

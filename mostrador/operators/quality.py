@@ -11,9 +11,11 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from mostrador.operators import keyed
 from mostrador.tables import Table
 
 
@@ -152,10 +154,14 @@ def enforce_report(rated: DataFrame) -> dict:
 # --- declared constraints -----------------------------------------------------------------------
 
 
+def _row_checks(table: Table) -> list[tuple[str, Column]]:
+    checks = [(f"{name} no nulo", F.col(name).isNull()) for name in table.required]
+    return checks + [(f"{name} mayor a 0", F.col(name) <= 0) for name in table.positive]
+
+
 def row_constraints(table: Table, df: DataFrame) -> DataFrame:
     """NOT NULL and greater-than-zero violations of one table, counted in a single pass."""
-    checks = [(f"{name} no nulo", F.col(name).isNull()) for name in table.required]
-    checks += [(f"{name} mayor a 0", F.col(name) <= 0) for name in table.positive]
+    checks = _row_checks(table)
     counts = df.agg(*[F.count_if(problem).alias(f"c{i}") for i, (_, problem) in enumerate(checks)])
     pairs = ", ".join(f"'{text}', c{i}" for i, (text, _) in enumerate(checks))
     return counts.select(
@@ -163,10 +169,25 @@ def row_constraints(table: Table, df: DataFrame) -> DataFrame:
     )
 
 
+def observed(table: Table, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` whose violations of the row constraints are counted while it is written, without another pass."""
+    seen = Observation(f"restricciones {table.name}")
+    counts = [F.count_if(problem).alias(text) for text, problem in _row_checks(table)]
+    return df.observe(seen, *counts), seen
+
+
+def observed_violations(table: Table, seen: Observation) -> list[tuple[str, str, int]]:
+    """``(table, constraint, count)`` of what :func:`observed` saw. A repeated task may count a row twice, never a good one."""
+    return [(table.name, text, count) for text, count in seen.get.items() if count]
+
+
 def key_constraint(table: Table, df: DataFrame) -> DataFrame:
-    """Number of keys that occur more than once."""
-    repeated = df.groupBy(*table.keys).agg(F.count("*").alias("veces")).where("veces > 1")
-    return _named(_count(repeated), table, f"llave única ({', '.join(table.keys)})")
+    """Number of keys that occur more than once. Keys are counted by hash; only repeated ones are compared as a whole."""
+    keys = list(table.keys)
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    suspect = hashed.join(keyed.repeated_hashes(df, keys), "_h", "left_semi")
+    repeated = suspect.groupBy(*keys).agg(F.count("*").alias("veces")).where("veces > 1")
+    return _named(_count(repeated), table, f"llave única ({', '.join(keys)})")
 
 
 def reference_constraint(table: Table, df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -190,9 +211,18 @@ def constraint_report(read: Callable[[Table], DataFrame], tables: tuple[Table, .
     return reduce(DataFrame.unionByName, parts)
 
 
-def enforce_constraints(violations: DataFrame) -> None:
-    broken = violations.where("problemas > 0").orderBy("tabla", "restriccion").collect()
+def precision_limits(table: Table, df: DataFrame) -> DataFrame:
+    """``(tabla, columna, tipo, problemas)``: per numeric column of ``table`` that ``df`` has, how many values do not fit its
+    declared type after rounding. ``df`` has them in wider types; nothing is raised."""
+    fields = [f for f in table.schema.fields if isinstance(f.dataType, (T.IntegerType, T.DecimalType)) and f.name in df.columns]
+    counts = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f"c{i}") for i, f in enumerate(fields)]
+    rows = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', c{i}" for i, f in enumerate(fields))
+    return df.agg(*counts).select(F.lit(table.name).alias("tabla"), F.expr(f"stack({len(fields)}, {rows}) AS (columna, tipo, problemas)"))
+
+
+def enforce_constraints(violations: DataFrame, seen: list[tuple[str, str, int]] = ()) -> None:
+    """Raise with all of ``violations`` (one row per constraint) and ``seen`` that have a count."""
+    counted = violations.where("problemas > 0").select("tabla", "restriccion", "problemas").collect()
+    broken = sorted({*seen, *map(tuple, counted)})
     if broken:
-        raise QualityError(
-            "restricciones violadas: " + "; ".join(f"{r.tabla} {r.restriccion}: {r.problemas}" for r in broken)
-        )
+        raise QualityError("restricciones violadas: " + "; ".join(f"{table} {text}: {count}" for table, text, count in broken))

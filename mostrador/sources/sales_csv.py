@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mostrador.functions import cleaning as c
 from mostrador.operators.barrier import evaluated_once
-from mostrador.sources.landing import BLANK, JOINED, PLAIN, broadcast_if_few, closes, without_return
+from mostrador.session import stored
+from mostrador.sources.landing import BLANK, FIELD, JOINED, PLAIN, broadcast_if_few, closes, header_text, without_return
 
 # Columns the file must have.
 COLUMNS = ("folio", "fecha", "producto_id", "cantidad", "precio_unitario", "canal")
@@ -26,37 +25,47 @@ FIELD_LIMIT = 131_072
 # --- headers ------------------------------------------------------------------------------------
 
 
-def headers(lines: DataFrame) -> DataFrame:
-    """First line of each file: ``(archivo_no, linea_id, encabezado)``."""
-    first = lines.where("bloque = 0").groupBy("archivo_no").agg(F.min("linea_id").alias("linea_id"))
-    text = F.split_part(without_return(F.col("contenido")), F.lit(RETURN), F.lit(1))
-    return lines.where("bloque = 0").join(first, ["archivo_no", "linea_id"], "left_semi").select(
-        "archivo_no", "linea_id", F.validate_utf8(text).alias("encabezado")
-    )
-
-
-def header_columns(header: str) -> list[str]:
-    return next(csv.reader([header]), [])
-
-
-def check_headers(spellings: list[str]) -> None:
-    """Stop the load when a header lacks required columns, naming all of them."""
-    for header in spellings or [""]:
-        missing = [name for name in COLUMNS if name not in header_columns(header)]
-        if missing:
-            raise ValueError(f"Al CSV de ventas le faltan columnas: {', '.join(missing)}")
+def header_names(header: Column) -> Column:
+    """Column names of a header line as an array: quotes around a field taken off, doubled ones single."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), header), F.lit(f",({FIELD})"), F.lit(1))
+    bare = lambda f: F.replace(F.regexp_replace(f, r'^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"'))
+    return F.transform(fields, lambda f: F.when(F.startswith(f, F.lit('"')), bare(f)).otherwise(f))
+
+
+def column_map(files: DataFrame) -> DataFrame:
+    """``(archivo_no, primera, ancho, lugares)`` of landed files that have a line: number of header columns, and the place
+    (from 1; 0: missing) of each of :data:`COLUMNS`. Of repeated names the last one counts."""
+    names = header_names(F.coalesce("encabezado", F.lit("")))
+    found = files.where("primera IS NOT NULL").select("archivo_no", "primera", names.alias("nombres"))
+    size = F.size("nombres")
+    place = [F.array_position(F.reverse("nombres"), name) for name in COLUMNS]
+    places = F.array(*[F.when(p == 0, 0).otherwise(size + 1 - p).cast("int") for p in place])
+    return found.select("archivo_no", "primera", size.alias("ancho"), places.alias("lugares"))
+
+
+def check_headers(lines: DataFrame, mapped: DataFrame) -> None:
+    """Stop the load when a header lacks required columns, naming all of them. At most one header reaches the driver."""
+    lacking = mapped.where(F.array_contains("lugares", 0)).orderBy("archivo_no").limit(1)
+    bad = lacking.first()
+    missing = None
+    if bad is not None:
+        # Landing marks first lines with all names; what this one has is read now.
+        text = lines.where((F.col("archivo_no") == bad.archivo_no) & (F.col("linea_id") == bad.primera)).select(header_names(header_text()).alias("x"))
+        names = text.first().x
+        missing = [name for name in COLUMNS if name not in names]
+    elif mapped.isEmpty():
+        missing = list(COLUMNS)
+    if missing:
+        raise ValueError(f"Al CSV de ventas le faltan columnas: {', '.join(missing)}")
 
 
 # --- records ------------------------------------------------------------------------------------
 
 
-def _fields(text: Column, header: str) -> Column:
-    """Required columns of one record as a struct of strings. Short records are padded with NULL, fields
-    beyond the header are dropped; of repeated header names the last one counts."""
-    names = header_columns(header)
-    record = F.from_csv(text, ", ".join(f"_{i} string" for i in range(len(names))), {"escape": '"'})
-    last = {name: i for i, name in enumerate(names)}
-    return F.struct(*[record[f"_{last[name]}"].alias(name) for name in COLUMNS])
+def _padded(text: Column, width: int) -> Column:
+    """Records of files with fewer columns get empty ones at their end, so the parser finds all it expects."""
+    lacking = F.lit(width) - F.col("ancho")
+    return F.when((lacking > 0) & closes(text), F.concat(text, F.repeat(F.lit(","), lacking))).otherwise(text)
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
@@ -117,10 +126,12 @@ def _joined_records(lines: DataFrame) -> DataFrame:
         "archivo_no", "bloque", F.coalesce(F.sum("cabezas").over(earlier), F.lit(0)).alias("anteriores"),
         F.coalesce(F.sum("citas").over(earlier), F.lit(0)).alias("citas_antes"),
     )
-    _check_open_quotes(heads.join(offsets, ["archivo_no", "bloque"]))
+    # Written once: the check and the records both come from it.
+    placed = stored(lines.sparkSession, heads.join(offsets, ["archivo_no", "bloque"]), "lineas-unidas")
+    _check_open_quotes(placed)
     piece = F.struct("bloque", "linea_id", "parte", "texto")
     return (
-        heads.join(offsets, ["archivo_no", "bloque"])
+        placed
         .groupBy("archivo_no", (F.col("anteriores") + F.col("en_bloque")).alias("registro"))
         .agg(F.sort_array(F.collect_list(piece)).alias("piezas"))
         .where("registro > 1")  # the first record is the header
@@ -155,9 +166,9 @@ def _too_long(file: str, record: int) -> str:
     return f"campo de más de {FIELD_LIMIT} caracteres (¿comillas sin cerrar?) en {file}, registro {record}"
 
 
-def _within_limit(text: Column, header: str) -> Column:
-    """``text`` of a record; one with a field over the limit stops the load. Only long records are looked into."""
-    count = len(header_columns(header))
+def _within_limit(text: Column, count: int) -> Column:
+    """``text`` of a record of up to ``count`` fields; one with a field over the limit stops the load. Only long records are
+    looked into."""
     record = F.from_csv(text, ", ".join(f"_{i} string" for i in range(count)), {"escape": '"', "maxCharsPerColumn": "-1"})
     longest = F.greatest(F.lit(0), *[F.coalesce(F.length(record[f"_{i}"]), F.lit(0)) for i in range(count)])
     start = F.left(text, F.lit(60))
@@ -165,46 +176,50 @@ def _within_limit(text: Column, header: str) -> Column:
     return F.when(F.length(text) <= FIELD_LIMIT, text).when(longest <= FIELD_LIMIT, text).otherwise(stop.cast("string"))
 
 
-def scan(lines: DataFrame) -> DataFrame:
+def scan(lines: DataFrame, files: DataFrame) -> DataFrame:
     """Raw records of landed CSV files: :data:`POSITION`, ``registro`` and the required text columns.
 
     Where no field runs over a line end, which one look at the line kinds tells, each line is a record and
     nothing is shuffled. Only files with such fields have their lines put together first; there the record
     number is known at once, otherwise ``registro`` stays NULL until :func:`number_records` fills it.
+
+    Headers were landed with ``files``. Records are parsed by position, once; files that spell their headers differently
+    have their positions joined in, so the plan is the same for two spellings or a million.
     """
-    head = headers(lines)
-    spellings = [row.encabezado for row in head.select("encabezado").distinct().collect()]
-    check_headers(spellings)
-    files = head.count()
+    mapped = column_map(files)
+    check_headers(lines, mapped)
+    seen = mapped.agg(
+        F.count("*").alias("n"), F.min("ancho").alias("narrow"), F.max("ancho").alias("width"),
+        F.min("lugares").alias("least"), F.max("lugares").alias("most"),
+    ).first()
     joined = lines.where(F.col("clase") == JOINED).select("archivo_no").distinct()
     any_joined = not joined.isEmpty()
 
     plain = lines.where(F.col("clase") == PLAIN)
     if any_joined:
-        plain = plain.join(broadcast_if_few(joined, files), "archivo_no", "left_anti")
-    plain = plain.join(
-        broadcast_if_few(head.select("archivo_no", "linea_id"), files), ["archivo_no", "linea_id"], "left_anti"
-    )
+        plain = plain.join(broadcast_if_few(joined, seen.n), "archivo_no", "left_anti")
+    first = mapped.select("archivo_no", F.col("primera").alias("linea_id"))
+    plain = plain.join(broadcast_if_few(first, seen.n), ["archivo_no", "linea_id"], "left_anti")
     records = plain.select(
         "archivo_no", "bloque", "linea_id", F.lit(0).alias("parte"),
         F.lit(None).cast("bigint").alias("registro"), without_return(F.col("contenido")).alias("texto"),
     )
     if any_joined:
-        together = lines.join(broadcast_if_few(joined, files), "archivo_no", "left_semi")
+        together = lines.join(broadcast_if_few(joined, seen.n), "archivo_no", "left_semi")
         records = records.unionByName(_joined_records(together))
-    if len(spellings) > 1:
-        records = records.join(broadcast_if_few(head.select("archivo_no", "encabezado"), files), "archivo_no")
-        fields = F.coalesce(
-            *[F.when(F.col("encabezado") == text, _fields(F.col("texto"), text)) for text in spellings]
-        )
-    else:
-        fields = _fields(F.col("texto"), spellings[0])
-    # Records of one header at least; with several, the widest decides how far a long record is looked into.
-    widest = max(spellings, key=lambda text: len(header_columns(text)))
+    # Short records are padded with NULL, fields beyond the header are dropped.
+    record = F.from_csv("texto", ", ".join(f"_{i} string" for i in range(1, seen.width + 1)), {"escape": '"'}).alias("_registro")
+    checked = _within_limit(F.validate_utf8("texto"), seen.width)
+    if (seen.narrow, seen.least) == (seen.width, seen.most):
+        fields = [F.col(f"_registro._{place}").alias(name) for name, place in zip(COLUMNS, seen.least, strict=True)]
+        return records.withColumn("texto", checked).select(*POSITION, "registro", record).select(*POSITION, "registro", *fields)
+    own = mapped.select("archivo_no", "ancho", "lugares")
+    found = records.join(broadcast_if_few(own, seen.n), "archivo_no").withColumn("texto", _padded(checked, seen.width))
+    every = F.array(*[F.col(f"_registro._{i}") for i in range(1, seen.width + 1)])
     return (
-        records.withColumn("texto", _within_limit(F.validate_utf8("texto"), widest))
-        .select(*POSITION, "registro", fields.alias("_campos"))
-        .select(*POSITION, "registro", "_campos.*")
+        found.select(*POSITION, "registro", "lugares", record)
+        .select(*POSITION, "registro", "lugares", every.alias("_todos"))
+        .select(*POSITION, "registro", *[F.element_at("_todos", F.col("lugares")[i]).alias(name) for i, name in enumerate(COLUMNS)])
     )
 
 

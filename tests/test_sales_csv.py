@@ -23,14 +23,15 @@ def land(spark, tmp_path):
         folder.mkdir(exist_ok=True)
         for i, text in enumerate(texts):
             (folder / f"f{i}.csv").write_bytes(text if isinstance(text, bytes) else text.encode(encoding))
-        landed = landing.land_lines(spark, str(folder), "ventas", datetime.now(), str(tmp_path / "crudo"))
-        return landing.landed_lines(spark, landed)
+        landed = landing.land_lines(spark, str(folder), "ventas", datetime.now(), str(tmp_path / "crudo"), sales_csv.COLUMNS)
+        return landing.landed_lines(spark, landed), landing.landed_files(spark, landed)
 
     return write
 
 
-def loaded(lines):
-    classified = sales_csv.classify(sales_csv.scan(lines))
+def loaded(landed):
+    lines = landed[0]
+    classified = sales_csv.classify(sales_csv.scan(*landed))
     kept = keyed.latest_by_key(
         sales_csv.accepted(classified).drop("registro"), sales_csv.KEYS, sales_csv.POSITION
     ).orderBy("folio", "producto_id")
@@ -104,10 +105,10 @@ def test_last_record_of_a_key_wins(land):
 def test_longest_field(land, extra, fits):
     text = HEADER + "x" * (sales_csv.FIELD_LIMIT + extra) + ",2025-03-09,3,1,10,tienda\n"
     if fits:
-        assert len(sales_csv.scan(land(text)).first().folio) == sales_csv.FIELD_LIMIT
+        assert len(sales_csv.scan(*land(text)).first().folio) == sales_csv.FIELD_LIMIT
     else:
         with pytest.raises(Exception, match="131072 caracteres"):
-            sales_csv.scan(land(text)).collect()
+            sales_csv.scan(*land(text)).collect()
 
 
 @pytest.mark.parametrize("split", ["1m", "10k"])
@@ -117,20 +118,20 @@ def test_open_quote_stops_the_load(spark, land, split):
     try:
         lines = land(HEADER + "K/a,2025-03-09,3,1,10,tienda\n" + '"K/b,2025-03-09,3,1,10,tienda\n' + rows)
         with pytest.raises(ValueError, match="f0.csv, registro 3"):
-            sales_csv.scan(lines)
+            sales_csv.scan(*lines)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_many_fields_over_lines_are_no_open_quote(land):
     block = '"' + "nota\n" * 20_000 + '",2025-03-09,3,1,10,tienda\n'
-    found = sales_csv.scan(land(HEADER + block + block.replace("nota", "otra"))).collect()
+    found = sales_csv.scan(*land(HEADER + block + block.replace("nota", "otra"))).collect()
     assert [len(r.folio) for r in found] == [100_000, 100_000]
 
 
 def test_missing_columns_stop_the_load(land):
     with pytest.raises(ValueError, match="fecha, canal"):
-        sales_csv.scan(land("folio,producto_id,cantidad,precio_unitario\n"))
+        sales_csv.scan(*land("folio,producto_id,cantidad,precio_unitario\n"))
 
 
 def test_header_only_file_loads_nothing(land):
@@ -182,14 +183,14 @@ QUOTED = [
 @pytest.mark.parametrize("body", QUOTED)
 def test_fields_that_run_over_lines(land, body):
     text = HEADER + body
-    lines = land(text)
-    found = sales_csv.scan(lines).orderBy("registro").collect()
+    lines, files = land(text)
+    found = sales_csv.scan(lines, files).orderBy("registro").collect()
     records = reference_records(text)[1:]
     expected = [tuple((f if f != "" else None) for f in (r + [None] * 6)[:6]) for r in records]
     # A quote that is never closed takes the rest of the file; only its last line end is left off.
     found = [tuple(r[name] for name in sales_csv.COLUMNS) for r in found]
     assert found == [(r[0].rstrip("\n"), *r[1:]) for r in expected]
-    numbered = sales_csv.number_records(sales_csv.scan(lines), lines).orderBy("registro").collect()
+    numbered = sales_csv.number_records(sales_csv.scan(lines, files), lines).orderBy("registro").collect()
     assert [r.registro for r in numbered] == list(range(2, len(records) + 2))
 
 
@@ -205,11 +206,11 @@ def test_records_are_the_same_however_the_file_is_split(spark, land):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
-        lines = land(HEADER + body, HEADER + plain)
+        lines, files = land(HEADER + body, HEADER + plain)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert lines.select("archivo_no", "bloque").distinct().count() > 20
-    numbered = sales_csv.number_records(sales_csv.scan(lines), lines).orderBy("archivo_no", "registro").collect()
+    numbered = sales_csv.number_records(sales_csv.scan(lines, files), lines).orderBy("archivo_no", "registro").collect()
     for file_no, expected in ((1, records), (2, plain_records)):
         mine = [r for r in numbered if r.archivo_no == file_no]
         assert [r.registro for r in mine] == list(range(2, len(expected) + 2))
@@ -217,16 +218,63 @@ def test_records_are_the_same_however_the_file_is_split(spark, land):
         assert [r.cantidad for r in mine] == [r[3] for r in expected]
 
 
-def test_landed_files_come_back_byte_for_byte(spark, land, tmp_path):
-    sources = ["\ufeff" + HEADER + "A\r\nB", HEADER + "x\n\ny\n", "\ufeffa\n", "\n", "z\n\n\r\n", "one"]
-    land(*sources)
-    folder = str(next((tmp_path / "crudo" / "ventas").iterdir()))
-    lines, files = landing.landed_lines(spark, folder), landing.landed_files(spark, folder)
-    back = landing.file_contents(lines, files).orderBy("archivo_no").collect()
-    assert [bytes(r.contenido).decode() for r in back] == sources
+@pytest.mark.parametrize("split", ["1m", "40"])
+def test_landed_files_come_back_byte_for_byte(spark, land, tmp_path, split):
+    long = "".join(f"row {i}\n" if i % 7 else "\n" for i in range(60))
+    sources = ["\ufeff" + HEADER + "A\r\nB", HEADER + "x\n\ny\n", "\ufeffa\n", "\n", "z\n\n\r\n", "one", "\ufeff" + long + "ñ", long]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        lines, files = land(*sources)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for size in (landing.PIECE, 16):
+        back = {}
+        for r in landing.restored_pieces(lines, files, size).collect():
+            so_far = back.setdefault(r.archivo_no, b"")
+            assert len(so_far) == r.desde  # sorted, and without a gap
+            back[r.archivo_no] = so_far + bytes(r.contenido)
+        assert [back[i].decode() for i in sorted(back)] == sources
     check = landing.line_copy_check(lines, files).orderBy("archivo_no").collect()
-    assert [r.huella for r in check] == [hashlib.md5(x.encode()).hexdigest() for x in sources]
-    assert [r.lineas for r in check] == [3, 4, 1, 1, 3, 1]
+    assert [r.lineas for r in check] == [3, 4, 1, 1, 3, 1, 61, 60]
+    for r, source in zip(check, sources):
+        own = source.removeprefix("\ufeff").encode().split(b"\n")
+        own = own[:-1] if own[-1] == b"" else own
+        digests = [hashlib.md5(b"%d:" % n + line).hexdigest() for n, line in enumerate(own, 1)]
+        sums = [sum(int(x[at : at + 15], 16) for x in digests) for at in (0, 16)]
+        assert r.huella == hashlib.md5(f"{len(own)}/{sums[0]}/{sums[1]}".encode()).hexdigest()
+    # Each piece is put together in its split: no task needs a file.
+    assert lines.select("archivo_no", "bloque").distinct().count() > (10 if split == "40" else 7)
+
+
+def test_copies_are_compared_with_their_files(spark, land, tmp_path):
+    lines, _ = land(HEADER + "one\ntwo\n", HEADER + "one\ntwo\n")
+    folder = str(tmp_path / "in")
+    assert landing.copies_that_differ(spark, folder, lines).collect() == []
+    (tmp_path / "in" / "f1.csv").write_text(HEADER + "two\none\n")
+    assert [r.archivo[-6:] for r in landing.copies_that_differ(spark, folder, lines).collect()] == ["f1.csv"]
+
+
+def test_plans_do_not_grow_with_the_spellings_of_headers(spark, land):
+    """Each file has its columns in another order, some with further ones, quoted or repeated names."""
+    texts, expected = [], set()
+    for i in range(12):
+        names = list(sales_csv.COLUMNS[i % 6 :] + sales_csv.COLUMNS[: i % 6])
+        values = dict(zip(sales_csv.COLUMNS, (f"F-{i}", "2025-03-09", str(i + 1), "2", "10.5", "tienda")))
+        row = [values[n] for n in names]
+        if i % 3 == 1:
+            names, row = [*names, "nota", "folio"], [*row, 'x, ""y""', f"L-{i}"]
+            values["folio"] = f"L-{i}"
+        if i % 4 == 2:
+            names, row = ["a, b", *names], ["z", *row]
+        quote = lambda x: f'"{x}"' if "," in x or i % 2 else x
+        texts.append(",".join(map(quote, names)) + "\n" + ",".join(map(quote, row)) + "\n")
+        expected.add(tuple(values[n] for n in sales_csv.COLUMNS))
+    scanned = sales_csv.scan(*land(*texts))
+    assert {tuple(r[n] for n in sales_csv.COLUMNS) for r in scanned.collect()} == expected
+    few = sales_csv.scan(*land(*texts[:2]))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("from_csv")
+    assert size(scanned) == size(few)
 
 
 def test_a_copy_that_lacks_bytes_is_refused(spark, land, tmp_path):
