@@ -1,6 +1,6 @@
 """Retail inputs derived by Spark from the supplied Parquet tables.
 
-Every derivation reads whole tables. Dirty values (empty quantities, ``pendiente`` prices, unknown channels,
+Every derivation reads whole tables. Dirty values (empty quantities, ``por definir`` prices, unknown channels,
 days without data) are spread over them by rule so that each reject reason occurs.
 """
 
@@ -53,17 +53,17 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = cents(F.when(F.col("l_discount") > 0.05, F.col("l_extendedprice")).otherwise(F.col("p_retailprice")))
     price = price.cast("string")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
-        F.concat(F.lit("DP-"), order).alias("folio"),
+        F.concat(F.lit("N-"), order).alias("folio"),
         F.when(line % 5 == 0, F.date_format("l_shipdate", "dd/MM/yyyy"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("fecha"),
         F.col("l_partkey").cast("string").alias("producto_id"),
         F.when(order % 401 == 0, F.lit(None))
         .when(order % 397 == 0, F.lit("0"))
         .otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("cantidad"),
-        F.when(order % 409 == 0, F.lit("pendiente"))
+        F.when(order % 409 == 0, F.lit("por definir"))
         .when(line % 3 == 0, F.concat(F.lit("$"), price))
         .otherwise(price).alias("precio_unitario"),
-        F.when(order % 419 == 0, F.lit("Mercado Libre"))
+        F.when(order % 419 == 0, F.lit("Feria"))
         .when(flag == "A", F.lit(" whatsapp "))
         .when(flag == "N", F.lit("TIENDA"))
         .otherwise(F.lit("Tienda")).alias("canal"),

@@ -15,15 +15,15 @@ SPACES = " || ".join(
 
 PARTS = {
     "raw_sales": """
-        SELECT 'DP-' || l_orderkey AS folio,
+        SELECT 'N-' || l_orderkey AS folio,
                CASE WHEN l_linenumber % 5 = 0 THEN strftime(l_shipdate, '%d/%m/%Y')
                     ELSE strftime(l_shipdate, '%Y-%m-%d') END AS fecha,
                CAST(l_partkey AS VARCHAR) AS producto_id,
                CASE WHEN l_orderkey % 401 = 0 THEN NULL WHEN l_orderkey % 397 = 0 THEN '0'
                     ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS cantidad,
-               CASE WHEN l_orderkey % 409 = 0 THEN 'pendiente'
+               CASE WHEN l_orderkey % 409 = 0 THEN 'por definir'
                     WHEN l_linenumber % 3 = 0 THEN '$' || precio ELSE precio END AS precio_unitario,
-               CASE WHEN l_orderkey % 419 = 0 THEN 'Mercado Libre' WHEN l_returnflag = 'A' THEN ' whatsapp '
+               CASE WHEN l_orderkey % 419 = 0 THEN 'Feria' WHEN l_returnflag = 'A' THEN ' whatsapp '
                     WHEN l_returnflag = 'N' THEN 'TIENDA' ELSE 'Tienda' END AS canal,
                l_orderkey // 50000 AS grupo, l.*
         FROM (SELECT *, CAST(CAST(CASE WHEN l_discount > 0.05 THEN l_extendedprice ELSE p_retailprice END
@@ -290,7 +290,7 @@ QUERIES = {
         SELECT texto, CASE WHEN motivo IS NULL THEN valor END AS valor, motivo, count(*) AS n
         FROM (
             SELECT texto, CAST(CAST(centavos AS DECIMAL(12, 0)) * 0.01 AS DECIMAL(10, 2)) AS valor,
-                   CASE WHEN texto = 'pendiente' THEN 'precio no es una cantidad: ''pendiente'''
+                   CASE WHEN texto = 'por definir' THEN 'precio no es una cantidad: ''por definir'''
                         WHEN texto = 'NaN' OR prefix(texto, '-') THEN 'precio debe ser mayor a 0: ''' || texto || ''''
                    END AS motivo
             FROM (
@@ -298,7 +298,7 @@ QUERIES = {
                            WHEN 4 THEN regexp_replace(regexp_replace(p, '([0-9])([0-9]{3})[.]', '\\1,\\2.'),
                                                       '([0-9])([0-9]{3}),', '\\1,\\2,')
                            WHEN 5 THEN CAST(l_quantity AS BIGINT) || 'e1' WHEN 6 THEN '-' || p
-                           ELSE CASE WHEN l_quantity > 25 THEN 'NaN' ELSE 'pendiente' END END AS texto,
+                           ELSE CASE WHEN l_quantity > 25 THEN 'NaN' ELSE 'por definir' END END AS texto,
                        CASE l_linenumber WHEN 3 THEN c + c % 2 WHEN 5 THEN CAST(l_quantity AS BIGINT) * 1000 ELSE c END AS centavos
                 FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(10, 2)) AS VARCHAR) AS p,
                              CAST(CAST(l_extendedprice AS DECIMAL(10, 2)) * 100 AS BIGINT) AS c FROM lineitem) l) a) b
@@ -319,7 +319,7 @@ QUERIES = {
         GROUP BY ALL""",
     "clean_channel": """
         SELECT canal AS texto, CASE lower(trim(canal)) WHEN 'whatsapp' THEN 'WhatsApp' WHEN 'tienda' THEN 'Tienda' END AS valor,
-               CASE WHEN canal = 'Mercado Libre' THEN 'canal desconocido: ''Mercado Libre''' END AS motivo, count(*) AS n
+               CASE WHEN canal = 'Feria' THEN 'canal desconocido: ''Feria''' END AS motivo, count(*) AS n
         FROM raw_sales GROUP BY ALL""",
     "sales_rejects": "SELECT l_orderkey, l_linenumber, folio, producto_id, motivo FROM checked_sales WHERE motivo IS NOT NULL",
     "product_rejects": "SELECT archivo, linea, motivo FROM checked_products WHERE motivo IS NOT NULL",

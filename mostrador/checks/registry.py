@@ -311,7 +311,7 @@ def clean_money(spark, sf_dir):
         F.when(kind == 1, plain).when(kind == 2, F.concat(F.lit(" $ "), plain)).when(kind == 3, F.concat(plain, F.lit("5")))
         .when(kind == 4, F.format_number(price, 2)).when(kind == 5, F.concat(F.col("l_quantity").cast("bigint"), F.lit("e1")))
         .when(kind == 6, F.concat(F.lit("-"), plain))
-        .otherwise(F.when(F.col("l_quantity") > 25, F.lit("NaN")).otherwise(F.lit("pendiente")))
+        .otherwise(F.when(F.col("l_quantity") > 25, F.lit("NaN")).otherwise(F.lit("por definir")))
     )
     stripped = c.stripped(F.col("texto"))
     amount = c.amount_text(stripped)
