@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -98,6 +99,12 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = 16 << 20) -> Iterator[
         start = end
 
 
+def release() -> None:
+    """At a task's end: give back what it held. A Python worker lives on and serves the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def own_copy(texts: pa.Array) -> pa.Array:
     """Texts as large strings, null as empty, in buffers of their own: some string kernels misread a slice's offset."""
     whole = pc.fill_null(texts, "").cast(pa.large_string())

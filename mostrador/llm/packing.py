@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mostrador.llm.common import blocks, own_copy, spread, written
+from mostrador.llm.common import blocks, own_copy, release, spread, written
 
 LENGTH = 4096
 END_ID = 2
@@ -144,7 +144,7 @@ class WordEncoder:
 
 @cache
 def word_encoder(tokenizer_path: str) -> WordEncoder:
-    """One for a Python worker, so that its tasks share what it remembers."""
+    """One for a Python worker: its tables are made once. What it remembers of words goes with each task."""
     return WordEncoder(tokenizer_path)
 
 
@@ -176,6 +176,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
                     [batch.column("id"), pa.array(np.full(len(ids), part), pa.int32()), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())],
                     ["id", "part", "local_start", "n_tokens", "ids"],
                 )
+        encoder.known = {}
+        release()
 
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     return written(chosen.mapInArrow(run, f"id {kind}, part int, local_start long, n_tokens long, ids binary"), "pack-tokens")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns, blocks, own_copy, sample_ids, written
+from mostrador.llm.common import add_columns, blocks, own_copy, release, sample_ids, written
 
 SIGNS = 64
 MAX_GAP = 2
@@ -124,7 +124,7 @@ class Model:
     slope: float
     shift: float
 
-    def decide(self, items: list[str], step: int = 8192) -> np.ndarray:
+    def decide(self, items: list[str], step: int = 2048) -> np.ndarray:
         """The SVM's value for each word, ``step`` words at a time, as a word has some hundred triples."""
         if len(items) > step:
             return np.concatenate([self.decide(items[i : i + step]) for i in range(0, len(items), step)])
@@ -395,12 +395,14 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for whole in batches:
-            for batch in blocks(whole, "judged text"):
+            for batch in blocks(whole, "judged text", 4 << 20):
                 if len(known) > REMEMBERED:
                     known.clear()
                 value = model.scores(batch.column("judged text"), known)
                 arrays = [pa.array(value), pa.array((value >= THRESHOLD).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], [*kept, "score", "predicted"])
+        known.clear()
+        release()
 
     return chosen.mapInArrow(run, schema)
 
