@@ -62,21 +62,21 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_substring"] = r"""
 WITH docs AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), windows AS (
-    SELECT doc_id, at, md5(array_to_string(w[at:at + 49], ' ')) AS h
-    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS at FROM docs WHERE len(w) >= 50)
+    SELECT doc_id, place, md5(array_to_string(w[place:place + 49], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS place FROM docs WHERE len(w) >= 50)
 ), firsts AS (
     SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS word FROM windows JOIN firsts USING (h) WHERE first_id < doc_id
+    SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS word FROM windows JOIN firsts USING (h) WHERE first_id < doc_id
 ), lists AS (
-    SELECT doc_id, list(word) AS words, count(*) AS n FROM gone GROUP BY doc_id
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
 ), words AS (
-    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM docs
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs
 ), kept AS (
-    SELECT words.doc_id, string_agg(words.word, ' ' ORDER BY words.at) AS kept
-    FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.at = gone.word GROUP BY words.doc_id
+    SELECT words.doc_id, string_agg(words.word, ' ' ORDER BY words.place) AS kept
+    FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.place = gone.word GROUP BY words.doc_id
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM docs LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
