@@ -44,6 +44,8 @@ THRESHOLD = 0.7
 CLEAN = -3.0
 #: Tokens whose values a task remembers; bounds its memory.
 REMEMBERED = 600_000
+#: Bits of the filter that tells which texts have a label.
+FILTER_BITS = 1 << 25
 #: Evidence (G squared) and ratio of rates at which a word, or a part of it (there are many more), counts as one of
 #: toxic documents.
 EVIDENCE, PART_EVIDENCE, RATIO = 16.0, 32.0, 12.0
@@ -342,6 +344,26 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     return fit([list(r["words"]) for r in got], [r["label"] for r in got], found)
 
 
+def only_met(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, text) whose id may be in ``ids``, told by a filter of fixed size: texts without a label stay in their
+    tasks. A few others may come along."""
+    at = F.xxhash64("id").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+    parts = ids.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits"))
+    table = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
+    for row in parts.collect():
+        table[row["b"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    met = texts.sparkSession.sparkContext.broadcast(table.ravel())  # 4 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = met.value
+        for batch in batches:
+            place = batch.column("place").to_numpy() - 1
+            found = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            yield found.select(["id", "text"])
+
+    return texts.select("id", "text", at.alias("place")).mapInArrow(run, texts.select("id", "text").schema)
+
+
 def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
     """Marked words with their evidence, by the document counts of all rows (id, text) that have a label (id, label).
     Of documents that share their two long words of least hash one counts. The evidence asked for grows with the
@@ -350,8 +372,9 @@ def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
     def keyed():
         return lambda batch: [pa.array([" ".join(sorted((w for w in words(t) if len(w) >= 8), key=hash_of)[:2]) or t for t in batch], pa.string())]
 
-    rows = texts.join(marks, "id")
-    kept = written(add_columns(rows, "text", [("like", T.StringType())], keyed, keep=["id", "label"]).groupBy("label", "like").agg(F.min("id").alias("id")), "toxicity-unlike")
+    # Two words of a text go to its label, not the text.
+    likes = add_columns(texts, "text", [("like", T.StringType())], keyed, keep=["id"])
+    kept = written(likes.join(marks, "id").groupBy("label", "like").agg(F.min("id").alias("id")), "toxicity-unlike")
     size = {r["label"]: r["count"] for r in kept.groupBy("label").count().collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
@@ -366,7 +389,7 @@ def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
                 every = list(total[0].keys() | total[1].keys())
                 yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([total[x][w] for w in every], pa.int64()) for x in (1, 0))], ["word", "k", "j"])
 
-    counted = texts.join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
+    counted = only_met(texts, kept).join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
     k, j, rate = F.col("k"), F.col("j"), (F.col("k") + F.col("j")) / F.lit(bad + good)
     found = 2 * (k * F.log(k / bad / rate) + F.when(j > 0, j * F.log(j / good / rate)).otherwise(0.0))
     least = EVIDENCE + 2 * np.log(max(1.0, (bad + good) / (2 * SAMPLE_PER_LABEL)))
