@@ -2,12 +2,16 @@
 
 Each rule is a regular expression with the literal tokens that any matching URL must have. The rule is indexed under the
 token that the fewest URLs have (counted over all URLs). A URL's tokens fetch its candidate rules from the index, and only
-these run their expressions; rules without a token are candidates for every URL. All of it is column expressions.
+these run their expressions; rules without a token are candidates for every URL. All of it is column expressions: the
+index is one constant, an array of slots by the checksum of the token with the few tokens of each slot, so a token is
+looked up in the same time however many rules there are. The rules are a list of the caller's and travel with the tasks.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +19,6 @@ from pyspark.sql import functions as F
 
 #: Tokens are runs of ASCII letters and digits, in lower case.
 _SPLIT = "[^a-z0-9]+"
-#: The rules travel in the plan, to every task. That bounds their number.
-MAX_RULES = 20_000
 
 
 @dataclass(frozen=True)
@@ -69,10 +71,35 @@ def _tokens(target: Column) -> Column:
 def token_counts(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> dict[str, int]:
     """In how many URLs each token of the rules is. One row per token of a rule comes back."""
     wanted = sorted({t for r in rules for t in r.tokens})
+    slots = _Slots({t: [n] for n, t in enumerate(wanted)})
     target = F.concat(host_of(F.col(url_col)), path_of(F.col(url_col)))
-    own = F.array_intersect(_tokens(target), F.array(*map(F.lit, wanted))) if wanted else F.array().cast("array<string>")
-    found = pages.select(F.explode(own).alias("token")).groupBy("token").count().collect()
-    return {t: 0 for t in wanted} | {r["token"]: r["count"] for r in found}
+    found = pages.select(F.explode(slots.fetched(_tokens(target))).alias("n")).groupBy("n").count().collect()
+    return {t: 0 for t in wanted} | {wanted[r["n"]]: r["count"] for r in found}
+
+
+def _constant(value: list, kind: str) -> Column:
+    """``value`` as one constant of the plan: the text is read once, when the plan is made, not for each row."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {kind}")["v"]
+
+
+class _Slots:
+    """Numbers by token: about one slot for each token, found by the token's checksum."""
+
+    def __init__(self, numbers: dict[str, list[int]]):
+        self.size = max(1, len(numbers))
+        slots: list[list[dict]] = [[] for _ in range(self.size)]
+        for token, own in sorted(numbers.items()):
+            slots[zlib.crc32(token.encode()) % self.size].append({"t": token, "n": own})
+        self.table = _constant(slots, "array<array<struct<t: string, n: array<int>>>>")
+
+    def fetched(self, tokens: Column) -> Column:
+        """The numbers of all ``tokens``, one after another."""
+
+        def of(token: Column) -> Column:
+            slot = F.get(self.table, (F.crc32(token.cast("binary")) % self.size).cast("int"))
+            return F.flatten(F.transform(F.filter(slot, lambda e: e["t"] == token), lambda e: e["n"]))
+
+        return F.flatten(F.transform(tokens, of))
 
 
 def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", url_col: str = "url") -> DataFrame:
@@ -82,8 +109,6 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", url_col:
     URLs that are null or have no ``://`` have empty host and path, no rule and the default verdict. Every row is judged
     by itself: repeated rows agree, an empty table stays empty. Columns of these names are replaced.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} can travel in the plan")
     counts = token_counts(pages, rules, url_col)
     ordered = sorted(rules, key=lambda r: (not r.site, -len(r.name), r.name))
     index: dict[str, list[int]] = {}
@@ -94,30 +119,22 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", url_col:
         else:
             always.append(n)
 
-    def numbers(values: list[int]) -> Column:
-        return F.array(*map(F.lit, values)) if values else F.array().cast("array<int>")
-
-    keys = sorted(index)
-    table = F.create_map(*[x for k in keys for x in (F.lit(k), numbers(index[k]))]) if keys else F.create_map().cast("map<string,array<int>>")
-    patterns = F.array(*[F.lit(r.pattern) for r in ordered]) if ordered else F.array().cast("array<string>")
     new = {"host", "path", "rule", "pattern", "n_candidates", "verdict"}
     kept = [c for c in pages.columns if c not in new]
     parts = pages.select(*kept, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     target = F.concat("host", "path")
-    hits = F.array_intersect(_tokens(target), F.array(*map(F.lit, keys))) if keys else F.array().cast("array<string>")
-    fetched = F.concat(F.flatten(F.transform(hits, lambda t: F.element_at(table, t))), numbers(always))
+    fetched = F.concat(_Slots(index).fetched(_tokens(target)), _constant(always, "array<int>"))
     found = parts.select("*", F.array_sort(F.array_distinct(fetched)).alias("own candidates"), target.alias("own target"))
     # Rules are numbered by rank, so the first candidate that matches decides.
+    patterns = _constant([r.pattern for r in ordered], "array<string>")
     match = F.filter("own candidates", lambda n: F.rlike(F.col("own target"), F.get(patterns, n)))
     first = found.select("*", F.get(match, F.lit(0)).alias("own n"))
-
-    def of(values: list[str | None]) -> Column:
-        return F.get(F.array(*[F.lit(v).cast("string") for v in values]), F.col("own n")) if values else F.lit(None).cast("string")
-
+    named = _constant([{"rule": r.name if r.site else None, "pattern": None if r.site else r.name, "verdict": r.verdict} for r in ordered],
+                      "array<struct<rule: string, pattern: string, verdict: string>>")
+    own = F.get(named, F.col("own n"))
     return first.select(
-        *kept, "host", "path", of([r.name if r.site else None for r in ordered]).alias("rule"),
-        of([None if r.site else r.name for r in ordered]).alias("pattern"), F.size("own candidates").cast("long").alias("n_candidates"),
-        F.coalesce(of([r.verdict for r in ordered]), F.lit(default)).alias("verdict"),
+        *kept, "host", "path", own["rule"].alias("rule"), own["pattern"].alias("pattern"),
+        F.size("own candidates").cast("long").alias("n_candidates"), F.coalesce(own["verdict"], F.lit(default)).alias("verdict"),
     )
 
 
