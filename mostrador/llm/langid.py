@@ -22,8 +22,9 @@ from mostrador.llm.common import add_columns, sample_ids
 BINS = 1 << 16
 GRAMS = (1, 2, 3)
 LANDMARKS = 96
-#: Bounds of the training sample: rows in all, rows of a language at most, languages (the most frequent ones).
-SAMPLE_ROWS, SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 1600, 400, 200
+#: Bounds of the training sample: rows in all, and rows of a language at most and at least. Every language is learned, so
+#: beyond SAMPLE_ROWS / SAMPLE_LEAST languages the sample grows by SAMPLE_LEAST rows (8 kB each) for each of them.
+SAMPLE_ROWS, SAMPLE_PER_LANGUAGE, SAMPLE_LEAST = 1600, 400, 4
 RIDGE = 1e-3
 SHARPNESS = 6.0
 UNKNOWN = "und"
@@ -76,7 +77,8 @@ class Model:
     weights: np.ndarray  # landmark x language
 
     def decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text."""
+        """Language and score of each text. The score tells the best language from the next one alone (0.5: no margin), so
+        it does not shrink as more languages are learned."""
         found = [grams(t) if self.languages else None for t in texts]
         known = [i for i, g in enumerate(found) if g is not None]
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -85,10 +87,14 @@ class Model:
             sizes = np.array([np.count_nonzero(found[i]) for i in known])
             kernel = (rows @ self.landmarks.T) / np.sqrt(sizes)[:, None]
             values = (kernel @ self.weights).astype(np.float64)
-            shares = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
-            shares /= shares.sum(axis=1, keepdims=True)
-            for i, best, share in zip(known, values.argmax(axis=1), shares.max(axis=1), strict=True):
-                names[i], scores[i] = self.languages[best], round(float(share), 6)
+            best = values.argmax(axis=1)
+            top = values[np.arange(len(known)), best]
+            values[np.arange(len(known)), best] = -np.inf
+            # A lone language competes with its own "rest", whose value is the opposite one.
+            rival = values.max(axis=1) if len(self.languages) > 1 else -top
+            shares = 1.0 / (1.0 + np.exp(-SHARPNESS * (top - rival)))
+            for i, b, share in zip(known, best, shares, strict=True):
+                names[i], scores[i] = self.languages[b], round(float(share), 6)
         return names, scores
 
 
@@ -121,19 +127,18 @@ def fit(labels: list[str], bins: list[np.ndarray], landmarks: int = LANDMARKS) -
 def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """From rows with language and text. The driver gets the bins (8 kB) of a bounded sample; texts stay in the tasks.
 
-    The sample is taken by a hash of the id, evenly over the languages: first ids alone, then the rows of these.
+    The sample is taken by a hash of the id, evenly over all languages: first ids alone, then the rows of these. One
+    count per language reaches the driver as well.
     """
     rows = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    found = {r["lang"]: r["count"] for r in counts.collect()}
-    learned = list(found)
-    if not learned:
+    found = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").collect()}
+    if not found:
         return fit([], [])
-    each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // len(learned)))
+    each = max(SAMPLE_LEAST, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // len(found)))
     chosen = sample_ids(rows.select("lang", "id"), "lang", each, found)
-    # At most SAMPLE_ROWS small rows: a proven bound for the broadcast. A repeated id gives its largest text once.
+    # At most ``each`` small rows a language: a proven bound for the broadcast. A repeated id gives its largest text once.
     sample = rows.join(F.broadcast(chosen), ["lang", "id"]).where("text is not null").groupBy("lang", "id").agg(F.max("text").alias("text"))
 
     def make():

@@ -70,3 +70,31 @@ def test_sample_is_the_ids_of_least_hash(spark):
     hashed = rows.distinct().withColumn("h", F.xxhash64("id")).collect()
     want = {(r["kind"], r["id"]) for k in (0, 1) for r in sorted((x for x in hashed if x["kind"] == k), key=lambda x: x["h"])[:40]}
     assert got == want
+
+
+def test_hundreds_of_languages_are_all_learned(spark):
+    """300 languages of eight documents, each of words of its own; one more is far more frequent."""
+    rng = random.Random(9)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(12)] for k in range(300)}
+    rows = [(" ".join(rng.choice(w) for _ in range(60)), name) for name, w in words.items() for _ in range(8)]
+    rows += [(text("en", rng), "en") for _ in range(600)]
+    rng.shuffle(rows)
+    docs = frame(spark, [t for t, _ in rows], [name for _, name in rows])
+    model = langid.train(docs.where(id_remainder("doc_id", 5) != 0))
+    assert len(model.languages) == 301
+    held = langid.predict(docs.where(id_remainder("doc_id", 5) == 0), model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.97
+    # The score is a margin over the next language, so it does not sink with their number.
+    assert np.median([r["score"] for r in held]) > 0.9
+
+
+def test_score_is_the_margin_over_the_next_language():
+    rng = random.Random(2)
+    texts, langs = corpus(seed=8, n=80)
+    bins = [langid.grams(t) for t in texts]
+    model = langid.fit(langs, bins)
+    mixed = [text("en", rng), text("en", rng) + "\n" + text("de", rng)]
+    names, scores = model.decide(mixed)
+    assert names[0] == "en" and scores[0] > scores[1] >= 0.5
+    names, scores = langid.fit(["en"] * 5, bins[:5]).decide(texts[:1])
+    assert names == ["en"] and 0.5 < scores[0] <= 1
