@@ -10,8 +10,9 @@ from mostrador.llm import langid, packing, simhash, substring, toxicity
 from mostrador.llm.common import written
 from mostrador.llm.queries import labels
 
-#: A text goes if no learned language gets at least this share of the votes, or if it has no letter.
-MIN_LANGUAGE_SCORE = 0.4
+#: A text goes if it has no letter, or fits a second language as well as the best (0.5: no margin at all). The bound does
+#: not depend on how many languages were learned.
+MIN_LANGUAGE_SCORE = 0.51
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
