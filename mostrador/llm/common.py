@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterator
@@ -84,6 +85,8 @@ def add_columns(
                 batch = whole.slice(start, rows)
                 arrays = work(batch.column("t").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(n) for n in inside] + arrays, names)
+        del work
+        release()
 
     out = picked.mapInArrow(run, schema)
     return out.toDF(*kept, *[name for name, _ in fields])
@@ -103,6 +106,9 @@ def release() -> None:
     """At a task's end: give back what it held. A Python worker lives on and serves the tasks of later stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
 
 
 def own_copy(texts: pa.Array) -> pa.Array:

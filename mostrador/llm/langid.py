@@ -29,6 +29,8 @@ RIDGE = 1e-3
 SHARPNESS = 6.0
 UNKNOWN = "und"
 _STEP = 1 << 20
+#: Texts scored at a time: each has its bins as bytes (64 kB) and as a row of the matrix product (up to 256 kB).
+_TOGETHER = 64
 
 
 @cache
@@ -148,7 +150,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
 
         return work
 
-    got = add_columns(sample, "text", [("bins", T.BinaryType())], make, keep=["lang", "id"]).where("bins is not null").collect()
+    got = add_columns(sample, "text", [("bins", T.BinaryType())], make, keep=["lang", "id"], rows=_TOGETHER).where("bins is not null").collect()
     got.sort(key=lambda r: (r["lang"], str(r["id"])))
     return fit([r["lang"] for r in got], [np.unpackbits(np.frombuffer(r["bins"], np.uint8)).astype(bool) for r in got])
 
@@ -167,7 +169,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
 
         return work
 
-    return add_columns(docs, text_col, [("lang_pred", T.StringType()), ("score", T.DoubleType())], make, keep, rows=256)
+    return add_columns(docs, text_col, [("lang_pred", T.StringType()), ("score", T.DoubleType())], make, keep, rows=_TOGETHER)
 
 
 def confident(min_score: float) -> Column:

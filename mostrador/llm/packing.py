@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -142,12 +141,6 @@ class WordEncoder:
         return out, ends[offsets[1:]] - ends[offsets[:-1]]
 
 
-@cache
-def word_encoder(tokenizer_path: str) -> WordEncoder:
-    """One for a Python worker: its tables are made once. What it remembers of words goes with each task."""
-    return WordEncoder(tokenizer_path)
-
-
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTER_OR_DIGIT = re.compile("[A-Za-z0-9À-ÖØ-öø-ÿ]")
 _NO_MERGE = np.iinfo(np.int64).max
@@ -163,7 +156,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at, part = word_encoder(tokenizer_path), 0, TaskContext.get().partitionId()
+        encoder, at, part = WordEncoder(tokenizer_path), 0, TaskContext.get().partitionId()
         for whole in batches:
             for batch in blocks(whole, "t", 4 << 20):
                 flat, own = encoder.encode(batch.column("t"))
@@ -176,7 +169,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
                     [batch.column("id"), pa.array(np.full(len(ids), part), pa.int32()), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())],
                     ["id", "part", "local_start", "n_tokens", "ids"],
                 )
-        encoder.known = {}
+        # The tables and words go with the task: a worker keeps nothing of them.
+        del encoder
         release()
 
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))

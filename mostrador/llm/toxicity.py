@@ -43,7 +43,7 @@ THRESHOLD = 0.7
 #: Value of a token without letters, and of an empty text.
 CLEAN = -3.0
 #: Tokens whose values a task remembers; bounds its memory.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Bits of the filter that tells which texts have a label.
 FILTER_BITS = 1 << 25
 #: Evidence (G squared) and ratio of rates at which a word, or a part of it (there are many more), counts as one of
@@ -382,12 +382,14 @@ def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "text"):
+            for batch in blocks(whole, "text", 4 << 20):
                 total = {label: Counter() for label in (0, 1)}
                 for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                     total[label].update(words(text))
                 every = list(total[0].keys() | total[1].keys())
                 yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([total[x][w] for w in every], pa.int64()) for x in (1, 0))], ["word", "k", "j"])
+                del total, every
+        release()
 
     counted = only_met(texts, kept).join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
     k, j, rate = F.col("k"), F.col("j"), (F.col("k") + F.col("j")) / F.lit(bad + good)
