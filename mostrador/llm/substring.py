@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import WORD, blocks, written
+from mostrador.llm.common import WORD, blocks, release, written
 
 LEAST = 50
 GRAM = 16
@@ -107,6 +107,7 @@ def anchors(docs: DataFrame) -> DataFrame:
             for batch in blocks(whole, "text", 4 << 20):
                 owner, gram = _anchors([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner)), pa.array(gram.view(np.int64))], ["id", "anchor"])
+        release()
 
     return docs.mapInArrow(run, T.StructType([docs.schema["id"], T.StructField("anchor", T.LongType())]))
 
@@ -216,12 +217,13 @@ def spans(docs: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "text", 8 << 20):
+            for batch in blocks(whole, "text", 4 << 20):
                 own = [np.array(a, np.int64).view(np.uint64) for a in batch.column("opened").to_pylist()]
                 texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
                 done = _parse_block(batch.column("id"), batch.column("tag").to_numpy(), texts, own)
                 if done is not None:
                     yield done
+        release()
 
     parsed = docs.join(opened, "id").join(copies, ["id", "tag"], "left_anti").select("id", "tag", "text", "opened")
     windows = parsed.mapInArrow(parse, _WINDOWS.format(kind))
@@ -251,6 +253,7 @@ def spans(docs: DataFrame) -> DataFrame:
             begin, end = np.concatenate([begin, again]), np.concatenate([end, again + LEAST]).astype(np.int32)
             tag = ((rest[keep] >> np.uint64(_TAG_AT)) & np.uint64(0xFFFF)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(keep)), pa.array(tag), pa.array(begin), pa.array(end)], ["id", "tag", "first", "last"])
+        release()
 
     # Settled spans have no hash; dealt by document they spread, and sort before the hashed windows.
     dealt = F.coalesce("h1", F.xxhash64("id", "rest"))
@@ -296,7 +299,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, at):
+            for batch in blocks(whole, at, 4 << 20):
                 texts, gone, counts = [], [], []
                 for text, pieces in zip(batch.column(at).to_pylist(), batch.column("pieces").to_pylist(), strict=True):
                     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -306,6 +309,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     texts.append(text if not removed else left.decode("utf-8", "surrogatepass"))
                 columns = [pa.array(texts, pa.string()) if n == at else batch.column(n) for n in inside]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [*inside, "n_words", "n_removed"])
+        release()
 
     schema = T.StructType([*(T.StructField(n, rows.schema[n].dataType) for n in inside), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     return rows.mapInArrow(run, schema).toDF(*kept, "n_words", "n_removed")
