@@ -1,21 +1,27 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Each word is predicted from the words on both its sides. The vocabulary is every different word of the corpus with its
-count, written as a table. It is the leaves of a tree built by frequency: the most frequent words are classes of their
-own, all others lie by rank in ``SHARED`` branches of about equal weight, each halved down to single words:
+Each word is predicted from the words on both its sides. The vocabulary is every different word of the corpus (by a 64-bit
+hash of it) with its count and its rank by count, written as a table that only joins read. Words lie by rank in a tree: the
+most frequent are classes of their own, all others are in ``SHARED`` branches of about equal weight, each halved by weight
+down to single words:
 
     P(word | both sides) = P(class | both sides) * product over the halvings of P(the word's half | both sides).
 
-The network sums one embedding for each neighbour (by place) and applies tanh; a softmax layer gives the class, and each
-halving has a logistic output beside the odds of the two halves' counts. It is trained in numpy over the whole corpus:
-each word of each document is the masked one once, one word in ``MASKED`` at a time. Each task trains on its documents
-from the same start, and the parameters are averaged by the number of words (``ROUNDS`` times). Every word of every
-document is then scored. Words that the corpus lacks share spare leaves.
+The tree needs no list of words. Ranks with the same count form a run, so the runs (count, words) give the weight of any
+stretch of ranks; a corpus of N words has at most sqrt(2 N) runs, which is what bounds the driver and the tasks' closure.
+
+The corpus is read once: blocks of texts become codes into the block's own dictionary, the dictionaries meet the vocabulary
+in a join on the word's hash, and the documents are written as ranks. From these the network is trained in numpy. It sums one
+embedding for each neighbour (by place) and applies tanh; a softmax layer gives the class, and each halving has a logistic
+output beside the odds of its halves by the counts. Each word of each document is the masked one once, one word in
+``MASKED`` at a time. Each task trains on its documents from the same start, and the parameters are averaged by the number
+of words (``ROUNDS`` times), so another partitioning gives another, equally valid network. Every word of every document is
+then scored. Words that the corpus lacks share spare ranks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,26 +32,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import blocks, own_copy, written
+from mostrador.llm.common import blocks, own_copy, release, written
 
 INPUTS = 2048
 CLASSES, SHARED = 64, 16
-#: Halvings with an output of their own; the deeper ones share as many, by rank.
+#: Halvings with an output of their own; the deeper ones share as many.
 NODES = 1 << 13
 SIDE = 2
 WIDTH = 16
 MASKED = 8
 ROUNDS = 2
 RATE = 0.1
-BATCH = 2048
-_CHUNK = 1 << 15
-#: Words whose keys a task remembers; bounds its memory.
+#: Words in a step of training. Gradients of repeated rows add up in dense sums, which pays for larger steps.
+BATCH = 8192
+_CHUNK = 8192
+#: Words whose hashes a task remembers; bounds its memory.
 REMEMBERED = 500_000
+#: The most frequent words, whose ranks travel with the tasks and so don't meet in the join.
+HEAD = 1 << 15
+_STEPS = [s for s in range(-SIDE, SIDE + 1) if s]
 
 
-def _different(texts: pa.Array, known: dict[str, int]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Different words of all texts, their keys (64-bit hashes, 0 for an empty piece), which of them each word is, and
-    each text's number of words. Words are what white space parts, in lower case. Null counts as empty."""
+def _different(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (64-bit hashes, 0 for an empty piece) of the different words of all texts, which of them each word is, and each
+    text's number of words. Words are what white space parts, in lower case. Null counts as empty."""
     lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts))))
     coded = pc.dictionary_encode(lists.flatten())
     names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -60,69 +70,266 @@ def _different(texts: pa.Array, known: dict[str, int]) -> tuple[list[str], np.nd
     offsets = offsets - offsets[0]
     real = keys[at] != 0  # leading and trailing white space gives empty pieces
     ends = np.concatenate([[0], np.cumsum(real)])[offsets]
-    return names, keys, at[real], np.diff(ends)
+    return keys, at[real], np.diff(ends)
 
 
 def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the words of all texts one after another, and each text's number of words."""
-    _, keys, at, sizes = _different(texts, known)
+    keys, at, sizes = _different(texts, known)
     return keys[at], sizes
 
 
-@dataclass
-class Vocabulary:
-    """Keys and counts of all different words, the most frequent first."""
+def _planes(values: np.ndarray) -> bytes:
+    """Non-negative numbers as bytes: how many each needs, then all lowest bytes, all next ones, and so on."""
+    k = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([k]) + values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
 
-    keys: np.ndarray
-    n: np.ndarray
 
-    def sum(self) -> int:
-        return int(self.n.sum())
+def _numbers(data: bytes) -> np.ndarray:
+    k = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(k, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :k] = planes.T
+    return out.view("<i8").ravel()
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, key, n): every different word of all documents with its occurrences, as a written table."""
+def cut(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One written row per block of about 16 MB of text: a block number, the documents' columns ``keep`` (default all),
+    their numbers of words, their words as codes into the block's dictionary, and that dictionary's keys and counts."""
+    kept = docs.columns if keep is None else keep
+    inside = [f"k{i}" for i in range(len(kept))]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)], F.col(f"`{text_col}`").alias("text of doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for whole in batches:
-            for batch in blocks(whole, "text"):
-                names, keys, at, _ = _different(batch.column("text"), known)
-                n = np.bincount(at, minlength=len(names))
-                some = pa.array(np.flatnonzero(n))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(some), pa.array(keys).take(some), pa.array(n).take(some)], ["word", "key", "n"])
+            for batch in blocks(whole, "text of doc"):
+                keys, at, sizes = _different(batch.column("text of doc"), known)
+                n = np.bincount(at, minlength=len(keys))
+                order = np.argsort(-n, kind="stable")[: np.count_nonzero(n)]
+                code = np.zeros(len(keys), np.int64)
+                code[order] = np.arange(len(order))
+                some = pa.StructArray.from_arrays([batch.column(c) for c in inside] or [batch.column("row")], names=inside or ["row"])
+                columns = [
+                    batch.column("row").slice(0, 1), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some),
+                    *(pa.array([x], pa.binary()) for x in (_planes(sizes), _planes(code[at]), keys[order].astype("<i8").tobytes(), _planes(n[order]))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "docs", "sizes", "codes", "keys", "n"])
+        del known
+        release()
+
+    inner = T.StructType([T.StructField(n, rows.schema[n].dataType) for n in inside] or [T.StructField("row", T.LongType())])
+    binary = [T.StructField(n, T.BinaryType()) for n in ("sizes", "codes", "keys", "n")]
+    return written(rows.mapInArrow(run, T.StructType([T.StructField("block", T.LongType()), T.StructField("docs", T.ArrayType(inner)), *binary])), "lm-blocks")
+
+
+def vocabulary(cuts: DataFrame) -> DataFrame:
+    """(key, n, leaf): every different word of the corpus with its occurrences and its rank, the most frequent first. A
+    written table; ranks come from the places within sorted partitions and these partitions' sizes."""
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, key long, n long")
-    return written(found.groupBy("word", "key").agg(F.sum("n").alias("n")), "lm-vocabulary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, "<i8")), pa.array(_numbers(n))], ["key", "n"])
+
+    found = cuts.select("keys", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    dealt = found.repartitionByRange(F.desc("n"), "key").sortWithinPartitions(F.desc("n"), "key")
+    placed = written(dealt.withColumn("place", F.monotonically_increasing_id()), "lm-words")
+    part = F.shiftright("place", 33).alias("part")
+    # One small row per partition.
+    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(part).agg(F.count("*").alias("n")).collect())
+    starts = np.cumsum([0] + [n for _, n in sizes]).tolist()
+    offsets = cuts.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts, strict=False)], "part long, start long")
+    ranked = placed.withColumn("part", part).join(F.broadcast(offsets), "part")
+    return written(ranked.select("key", "n", (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("leaf")), "lm-vocabulary")
 
 
-def counts(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The whole vocabulary of the documents. Sixteen bytes of each different word reach the driver."""
-    got = vocabulary(docs, text_col).select("key", "n").toArrow()
-    keys, n = (got.column(c).to_numpy() for c in ("key", "n"))
-    order = np.lexsort((keys, -n))
-    return Vocabulary(keys[order], n[order])
+@dataclass
+class Tree:
+    """Leaves are ranks. Items are runs of leaves with one count; halvings are between items, then within an item."""
+
+    words: int  # leaves that are words; SHARED spare ones follow
+    first: np.ndarray  # first leaf of each item, and the end
+    n: np.ndarray  # count of each leaf of the item
+    own: int  # items (of one leaf) that are classes of their own
+    edges: np.ndarray  # first item of each branch, and the end
+    root: np.ndarray = field(default=None)  # of each branch: a halving, or -1 if it is one item
+    mid: np.ndarray = field(default=None)  # of each halving: first item of the upper half
+    odds: np.ndarray = field(default=None)  # log odds of the upper half by the counts
+    lower: np.ndarray = field(default=None)  # next halving on either side, or -1
+    upper: np.ndarray = field(default=None)
+
+    @staticmethod
+    def build(counts: np.ndarray, sizes: np.ndarray) -> Tree:
+        """From the different counts, falling, and the number of words of each."""
+        words = int(sizes.sum())
+        own = min(CLASSES - SHARED, words)
+        starts = np.cumsum(sizes) - sizes
+        total = max(1, int((counts * sizes).sum()))
+        # Leaves of their own at the top; then runs, in pieces of at most 1 / 256 of all occurrences; then spare leaves.
+        cuts = [np.arange(own), starts[starts >= own], [own, words]]
+        for s, m, n in zip(starts.tolist(), sizes.tolist(), counts.tolist(), strict=True):
+            if n * m * 256 > total and m > 1:
+                pieces = np.linspace(s, s + m, min(m, n * m * 256 // total + 1) + 1).astype(np.int64)
+                cuts.append(pieces[pieces >= own])
+        first = np.unique(np.concatenate([np.asarray(c, np.int64) for c in cuts]))
+        n = np.append(counts[np.searchsorted(starts, first[:-1], "right") - 1], 1) if words else np.ones(1, np.int64)
+        first = np.append(first, words + SHARED)
+        below = np.concatenate([[0], np.cumsum(n * np.diff(first))])
+        items = len(n)
+        edges = np.searchsorted(below, below[own] + (below[-1] - below[own]) * np.arange(SHARED + 1) // SHARED)
+        edges[0], edges[-1] = own, items
+        tree = Tree(words, first, n, own, np.maximum.accumulate(edges))
+        tree._halve(below)
+        return tree
+
+    def _halve(self, below: np.ndarray) -> None:
+        """Level by level: each stretch of items is parted where its weight is halved."""
+        low, high = self.edges[:-1], self.edges[1:]
+        lists: dict[str, list] = {"mid": [], "odds": [], "lower": [], "upper": []}
+        numbered, parents = 0, None
+        while True:
+            more = np.flatnonzero(high - low > 1)
+            number = np.full(len(low), -1)
+            number[more] = numbered + np.arange(len(more))
+            numbered += len(more)
+            if parents is None:
+                self.root = number
+            else:
+                lists["lower"].append(number[:parents])
+                lists["upper"].append(number[parents:])
+            if not len(more):
+                break
+            low, high, parents = low[more], high[more], len(more)
+            mid = np.clip(np.searchsorted(below, (below[low] + below[high]) // 2), low + 1, high - 1)
+            lists["mid"].append(mid)
+            lists["odds"].append(np.log((below[high] - below[mid]) / (below[mid] - below[low])))
+            low, high = np.concatenate([low, mid]), np.concatenate([mid, high])
+        for name, found in lists.items():
+            setattr(self, name, np.concatenate(found) if found else np.zeros(0, np.int64))
+
+    @property
+    def size(self) -> int:
+        return int(self.first[-1])
+
+    def items_of(self, leaf: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, leaf, "right") - 1
+
+    def classes_of(self, item: np.ndarray) -> np.ndarray:
+        return np.where(item < self.own, item, CLASSES - SHARED + np.searchsorted(self.edges[1:-1], item, "right"))
+
+    def class_weights(self) -> np.ndarray:
+        weight = self.n * np.diff(self.first)
+        return np.bincount(self.classes_of(np.arange(len(weight))), weight, CLASSES)
+
+    def paths(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Class and number of halvings of each leaf; and of all halvings one after another the slot of the output, the
+        side of the leaf (1 for the upper half, else -1), and the log odds of that side by the counts."""
+        item = self.items_of(leaf)
+        kind = self.classes_of(item)
+        levels = []
+        which = np.flatnonzero(item >= self.own)
+        node = self.root[kind[which] - (CLASSES - SHARED)]
+        while True:
+            more = node >= 0
+            which, node = which[more], node[more]
+            if not len(which):
+                break
+            up = item[which] >= self.mid[node]
+            levels.append((which, np.where(node < NODES, node, NODES + node % NODES), up, self.odds[node]))
+            node = np.where(up, self.upper[node], self.lower[node])
+        which = np.flatnonzero(np.diff(self.first)[item] > 1)
+        low, high = self.first[item[which]], self.first[item[which] + 1]
+        while True:
+            more = high - low > 1
+            which, low, high = which[more], low[more], high[more]
+            if not len(which):
+                break
+            mid = (low + high) >> 1
+            up = leaf[which] >= mid
+            levels.append((which, NODES + mid % NODES, up, np.log((high - mid) / (mid - low))))
+            low, high = np.where(up, mid, low), np.where(up, high, mid)
+        depth = np.zeros(len(leaf), np.int64)
+        for which, *_ in levels:
+            depth[which] += 1
+        at = np.cumsum(depth) - depth
+        slot, side, odds = np.zeros(depth.sum(), np.int64), np.zeros(depth.sum(), np.float32), np.zeros(depth.sum(), np.float32)
+        for which, s, up, o in levels:
+            here = at[which]
+            sign = np.where(up, 1, -1)
+            slot[here], side[here], odds[here] = s, sign, o * sign
+            at[which] += 1
+        return kind, depth, slot, side, odds
 
 
 @dataclass
-class ByWord:
-    """A value of each leaf, found by a word's key or by a slice of leaves (from 1 on)."""
+class Words:
+    """What tasks know of the vocabulary: the tree, and the ranks of the most frequent words."""
 
-    network: Network
-    of: Callable[[np.ndarray], np.ndarray]
+    tree: Tree
+    keys: np.ndarray  # of the HEAD most frequent words, sorted
+    ranks: np.ndarray
 
-    def __getitem__(self, at):
-        if isinstance(at, slice):
-            return self.of(np.arange(self.network.size + 1)[at] - 1)
-        return self.of(self.network.leaves(np.atleast_1d(np.asarray(at, np.int64))))[0]
+    @staticmethod
+    def of(table: DataFrame) -> Words:
+        """Reaches the driver: a row for each different count, and HEAD words."""
+        runs = table.groupBy("n").agg(F.count("*").alias("m")).toArrow()
+        n, m = (runs.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+        order = np.argsort(-n)
+        head = table.where(F.col("leaf") < HEAD).select("key", "leaf").toArrow()
+        keys, ranks = (head.column(c).to_numpy().astype(np.int64) for c in ("key", "leaf"))
+        by = np.argsort(keys)
+        return Words(Tree.build(n[order], m[order]), keys[by], ranks[by])
+
+    def head(self, keys: np.ndarray) -> np.ndarray:
+        """Ranks of words by their keys; -1 for those beyond the most frequent."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], -1)
+
+    def spare(self, keys: np.ndarray) -> np.ndarray:
+        """Ranks of words that the corpus lacks."""
+        return self.tree.words + keys % SHARED
+
+
+def ranked(cuts: DataFrame, table: DataFrame, words: Words, names: list[str]) -> DataFrame:
+    """The documents' columns, by ``names``, and "leaves", the ranks of their words; written. Blocks' dictionaries are joined
+    with the vocabulary by key, and go back to their blocks; no text and no word is moved one by one."""
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+                keys = np.frombuffer(data, "<i8")
+                at = np.flatnonzero(words.head(keys) < 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at.astype(np.int32)), pa.array(keys[at])], ["block", "at", "key"])
+
+    met = cuts.select("block", "keys").mapInArrow(rare, "block long, at int, key long").join(table.select("key", "leaf"), "key", "left").select("block", "at", "leaf")
+    inner = cuts.schema["docs"].dataType.elementType
+    fields = inner.fieldNames() if names else []
+
+    def place(block: pa.Table, found: pa.Table) -> pa.Table:
+        docs, leaves = [], []
+        for row in range(block.num_rows):
+            keys = np.frombuffer(block.column("keys")[row].as_py(), "<i8")
+            leaf = words.head(keys)
+            at, rank = found.column("at").to_numpy(), found.column("leaf").fill_null(-1).to_numpy()
+            leaf[at] = rank
+            leaf = np.where(leaf < 0, words.spare(keys), leaf)
+            of, ends = leaf[_numbers(block.column("codes")[row].as_py())], np.cumsum(_numbers(block.column("sizes")[row].as_py()))
+            docs.append(block.column("docs").slice(row, 1).combine_chunks().flatten())
+            leaves += [_planes(x) for x in np.split(of, ends[:-1])]
+        columns = [pa.chunked_array([d.flatten()[i] for d in docs]) for i in range(len(fields))]
+        return pa.Table.from_arrays([*columns, pa.array(leaves, pa.binary())], names=[*fields, "leaves"])
+
+    schema = T.StructType([*(inner[f] for f in fields), T.StructField("leaves", T.BinaryType())])
+    sides = cuts.drop("n").groupBy("block").cogroup(met.groupBy("block"))
+    return written(sides.applyInArrow(place, schema), "lm-ranks")
 
 
 @dataclass
 class Network:
-    keys: np.ndarray  # of the words, sorted
-    ranks: np.ndarray  # leaf of each of these
-    below: np.ndarray  # occurrences of all leaves before each leaf; one more entry for all
-    edges: np.ndarray  # first leaf of each branch, and the end
+    tree: Tree
     embed: np.ndarray = field(default=None)  # place x input x WIDTH
     layer: np.ndarray = field(default=None)  # WIDTH x class
     bias: np.ndarray = field(default=None)  # class
@@ -130,157 +337,104 @@ class Network:
     nodes: np.ndarray = field(default=None)  # halving x WIDTH
 
     @staticmethod
-    def start(total: Vocabulary, seed: int = 7) -> Network:
-        """Tree and inputs by the corpus counts; small random embeddings."""
-        spare = max(CLASSES - len(total.keys), SHARED)
-        n = np.concatenate([total.n, np.ones(spare, np.int64)])
-        below = np.concatenate([[0], np.cumsum(n)])
-        own, edges = CLASSES - SHARED, [CLASSES - SHARED]
-        for k in range(1, SHARED):
-            even = int(np.searchsorted(below, below[own] + (below[-1] - below[own]) * k // SHARED))
-            edges.append(min(max(even, edges[-1] + 1), len(n) - (SHARED - k)))
-        edges = np.array([*edges, len(n)])
-        order = np.argsort(total.keys)
-        size = np.concatenate([n[:own], np.diff(below[edges])])
+    def start(tree: Tree, seed: int = 7) -> Network:
+        """Small random embeddings; classes by their counts."""
+        weight = tree.class_weights()
         random = np.random.default_rng(seed)
+        with np.errstate(divide="ignore"):
+            bias = np.maximum(np.log(weight / weight.sum()), -1e9).astype(np.float32)  # a class without a word
         return Network(
-            total.keys[order], order.astype(np.int32), below, edges, (random.standard_normal((2 * SIDE, INPUTS, WIDTH)) * 0.1).astype(np.float32),
-            np.zeros((WIDTH, CLASSES), np.float32), np.log(size / size.sum()).astype(np.float32), np.zeros(WIDTH, np.float32), np.zeros((2 * NODES, WIDTH), np.float32),
+            tree, (random.standard_normal((2 * SIDE, INPUTS, WIDTH)) * 0.1).astype(np.float32), np.zeros((WIDTH, CLASSES), np.float32), bias,
+            np.zeros(WIDTH, np.float32), np.zeros((2 * NODES, WIDTH), np.float32),
         )
 
-    @property
-    def size(self) -> int:
-        return len(self.below) - 1
-
-    @property
-    def classes(self) -> ByWord:
-        return ByWord(self, self.classes_of)
-
-    @property
-    def inputs(self) -> ByWord:
-        """0 stands for the edge of a text."""
-        return ByWord(self, self.inputs_of)
-
-    @property
-    def inside(self) -> ByWord:
-        """Log of a word's share of its class by the counts, which is its probability in the class before training."""
-        return ByWord(self, lambda leaf: np.log(self.below[leaf + 1] - self.below[leaf]) - np.log(self._class_size(leaf)))
-
-    def _class_size(self, leaf: np.ndarray) -> np.ndarray:
-        branch = np.maximum(self.classes_of(leaf) - (CLASSES - SHARED), 0)
-        own = leaf < CLASSES - SHARED
-        return np.where(own, self.below[leaf + 1] - self.below[leaf], self.below[self.edges[branch + 1]] - self.below[self.edges[branch]])
-
-    def leaves(self, keys: np.ndarray) -> np.ndarray:
-        """Of words by their keys."""
-        words, spare = len(self.keys), self.size - len(self.keys)
-        out = words + keys % spare
-        if words:
-            at = np.minimum(np.searchsorted(self.keys, keys), words - 1)
-            out = np.where(self.keys[at] == keys, self.ranks[at], out)
-        return out
-
-    def classes_of(self, leaf: np.ndarray) -> np.ndarray:
-        return np.where(leaf < CLASSES - SHARED, leaf, CLASSES - SHARED - 1 + np.searchsorted(self.edges, leaf, "right"))
-
     def inputs_of(self, leaf: np.ndarray) -> np.ndarray:
+        """0 stands for the edge of a text."""
         return 1 + np.where(leaf < INPUTS // 2, leaf, INPUTS // 2 + leaf % (INPUTS - INPUTS // 2 - 1))
 
-    def read(self, texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves of the words of all texts one after another, and each text's number of words."""
-        _, keys, at, sizes = _different(texts, known)
-        return self.leaves(keys)[at], sizes
-
-    def laid_out(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def laid_out(self, leaves: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Inputs with SIDE edges around each text, and where in them each word is."""
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        at = np.arange(len(words)) + SIDE * (owner + 1)
-        row = np.zeros(len(words) + SIDE * (len(sizes) + 1), np.int64)
-        row[at] = self.inputs_of(words)
+        at = np.arange(len(leaves)) + SIDE * (owner + 1)
+        row = np.zeros(len(leaves) + SIDE * (len(sizes) + 1), np.int64)
+        row[at] = self.inputs_of(leaves)
         return row, at
 
     def hidden(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = np.broadcast_to(self.shift, (len(at), WIDTH)).copy()
-        for place, step in enumerate([s for s in range(-SIDE, SIDE + 1) if s]):
-            total += self.embed[place][row[at + step]]
-        return np.tanh(total)
-
-    def halvings(self, own: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Level by level from the branches to the leaves ``own``: which of them are halved once more, the slot of the
-        halving, the log odds of its upper half by the counts, and whether the leaf is in that half."""
-        which = np.flatnonzero(own >= CLASSES - SHARED)
-        leaf, path = own[which], target[which] - (CLASSES - SHARED)
-        low, high = self.edges[path], self.edges[path + 1]
-        first, width = 0, SHARED
-        while len(which):
-            more = high - low > 1
-            if not more.all():
-                which, leaf, path, low, high = (x[more] for x in (which, leaf, path, low, high))
-                if not len(which):
-                    return
-            mid = (low + high) >> 1
-            lower = self.below[mid]
-            odds = np.log((self.below[high] - lower) / (lower - self.below[low]))
-            upper = leaf >= mid
-            slot = first + path
-            yield which, np.where(slot < NODES, slot, NODES + mid % NODES), odds, upper
-            low, high, path = np.where(upper, mid, low), np.where(upper, high, mid), path * 2 + upper
-            first, width = first + width, width * 2
-
-    def log_probabilities(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        total = self.embed[0].take(row[at + _STEPS[0]], axis=0)
+        for place, step in enumerate(_STEPS[1:], 1):
+            total += self.embed[place].take(row[at + step], axis=0)
+        total += self.shift
+        return np.tanh(total, out=total)
+
+    def log_probabilities(self, leaves: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each word (by its leaf), given both its sides."""
-        row, at = self.laid_out(words, sizes)
-        out = np.empty(len(words))
-        for a in range(0, len(words), _CHUNK):
-            part, own = at[a : a + _CHUNK], words[a : a + _CHUNK]
-            h = self.hidden(row, part)
-            logits = h @ self.layer + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
-            target = self.classes_of(own)
-            found = (logits[np.arange(len(own)), target] - np.log(np.exp(logits).sum(axis=1))).astype(np.float64)
-            for which, slot, odds, upper in self.halvings(own, target):
-                value = odds + np.einsum("ij,ij->i", h[which], self.nodes[slot])
-                found[which] -= np.logaddexp(0.0, np.where(upper, -value, value))
-            out[a : a + _CHUNK] = found
+        row, at = self.laid_out(leaves, sizes)
+        out, paths = np.empty(len(leaves)), _Paths(self.tree, leaves)
+        for a in range(0, len(leaves), _CHUNK):
+            step = paths.step(np.arange(a, min(a + _CHUNK, len(leaves))))
+            h = self.hidden(row, at[step.own])
+            logits = self.layer.T @ h.T
+            logits += self.bias[:, None]
+            logits -= logits.max(axis=0)
+            found = logits[step.kind, np.arange(len(step.own))].astype(np.float64)
+            found -= np.log(np.exp(logits, out=logits).sum(axis=0))
+            value = step.values(h, self.nodes.take(step.slot, axis=0))
+            # log(1 / (1 + exp(-value))): factors of 1 to 2 are multiplied first, as a word has fewer than 1,000 halvings.
+            rest = np.exp(-np.abs(value)).astype(np.float64) + 1
+            low = np.minimum(value, 0)
+            for words, places, shape in step.groups:
+                found[words] += low[places].reshape(shape).sum(axis=1) - np.log(rest[places].reshape(shape).prod(axis=1))
+            out[step.own] = found
         return out
 
-    def learn(self, words: np.ndarray, sizes: np.ndarray, memory: list[np.ndarray], residues: Iterable[int]) -> int:
+    def learn(self, leaves: np.ndarray, sizes: np.ndarray, memory: list[np.ndarray], residues: Iterable[int]) -> int:
         """Adagrad steps on the words whose place, counted from the end of their text, has one of ``residues`` modulo
         MASKED, residue by residue; ``memory`` holds the squared gradients."""
-        row, at = self.laid_out(words, sizes)
-        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        residue = (place + np.repeat(sizes, sizes)) % MASKED
-        steps, learned = [s for s in range(-SIDE, SIDE + 1) if s], 0
+        row, at = self.laid_out(leaves, sizes)
+        place = np.arange(len(leaves)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        residue = ((place + np.repeat(sizes, sizes)) % MASKED).astype(np.int8)
+        paths, learned = _Paths(self.tree, leaves), 0
         for now in residues:
             chosen = np.flatnonzero(residue == now)
             learned += len(chosen)
             for a in range(0, len(chosen), BATCH):
-                own = chosen[a : a + BATCH]
-                h = self.hidden(row, at[own])
-                logits = h @ self.layer + self.bias
-                logits -= logits.max(axis=1, keepdims=True)
-                wrong = np.exp(logits)
-                wrong /= wrong.sum(axis=1, keepdims=True)
-                target = self.classes_of(words[own])
-                wrong[np.arange(len(own)), target] -= 1
-                wrong /= len(own)
-                back = wrong @ self.layer.T
-                slots, gradients = [], []
-                for which, slot, odds, upper in self.halvings(words[own], target):
-                    node, side = self.nodes[slot], h[which]
-                    value = odds + np.einsum("ij,ij->i", side, node)
-                    off = ((1.0 / (1.0 + np.exp(-np.clip(value, -40, 40))) - upper) / len(own)).astype(np.float32)[:, None]
-                    back[which] += off * node
-                    slots.append(slot)
-                    gradients.append(off * side)
+                step = paths.step(chosen[a : a + BATCH])
+                here, count = at[step.own], len(step.own)
+                h = self.hidden(row, here)
+                logits = self.layer.T @ h.T
+                logits += self.bias[:, None]
+                logits -= logits.max(axis=0)
+                wrong = np.exp(logits, out=logits)
+                wrong /= wrong.sum(axis=0)
+                wrong[step.kind, np.arange(count)] -= 1
+                wrong /= count
+                back = (self.layer @ wrong).T.copy()
+                nodes = self.nodes.take(step.slot, axis=0)
+                value = step.values(h, nodes)
+                off = np.exp(-np.abs(value))
+                off = np.where(value >= 0, off, np.float32(1)) / (1 + off)
+                off *= step.side
+                off *= np.float32(-1 / count)
+                for words, places, (k, d) in step.groups:
+                    back[words] += np.matmul(off[places].reshape(k, 1, d), nodes[places].reshape(k, d, WIDTH))[:, 0]
+                _move(self.layer, memory[1], (wrong @ h).T)
+                _move(self.bias, memory[2], wrong.sum(axis=1))
+                if len(off):
+                    gradient, sides, off = np.empty((WIDTH, len(self.nodes)), np.float32), h.T.astype(np.float64), off.astype(np.float64)
+                    for j in range(WIDTH):
+                        part = sides[j].take(step.word)
+                        part *= off
+                        gradient[j] = np.bincount(step.slot, part, len(self.nodes))
+                    _move(self.nodes, memory[4], np.ascontiguousarray(gradient.T))
                 back *= 1 - h * h
-                for parameter, held, gradient in ((self.layer, memory[1], h.T @ wrong), (self.bias, memory[2], wrong.sum(axis=0)), (self.shift, memory[3], back.sum(axis=0))):
-                    held += gradient * gradient
-                    parameter -= RATE * gradient / np.sqrt(held + 1e-8)
-                if slots:
-                    _step(self.nodes, memory[4], np.concatenate(slots), np.concatenate(gradients))
-                for p, step in enumerate(steps):
-                    _step(self.embed[p], memory[0][p], row[at[own] + step], back)
+                _move(self.shift, memory[3], back.sum(axis=0))
+                sides, gradient = back.T.astype(np.float64), np.empty((WIDTH, INPUTS), np.float32)
+                for p, offset in enumerate(_STEPS):
+                    index = row[here + offset]
+                    for j in range(WIDTH):
+                        gradient[j] = np.bincount(index, sides[j], INPUTS)
+                    _move(self.embed[p], memory[0][p], np.ascontiguousarray(gradient.T))
         return learned
 
     def rows(self) -> np.ndarray:
@@ -299,70 +453,157 @@ class Network:
             at += old.size
 
 
-def _step(parameter: np.ndarray, held: np.ndarray, index: np.ndarray, gradient: np.ndarray) -> None:
-    """An Adagrad step on the rows ``index`` of a parameter; gradients of a repeated row add up."""
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-    rows, total = index[first], np.add.reduceat(gradient[order], first, axis=0)
-    held[rows] += total * total
-    parameter[rows] -= RATE * total / np.sqrt(held[rows] + 1e-8)
+@dataclass
+class _Step:
+    """Some words, those with equally many halvings together, and all their halvings one after another."""
+
+    own: np.ndarray
+    kind: np.ndarray
+    word: np.ndarray  # of each halving: which of the words
+    slot: np.ndarray
+    side: np.ndarray
+    odds: np.ndarray
+    groups: list[tuple[slice, slice, tuple[int, int]]]  # words, their halvings, (words, halvings each)
+
+    def values(self, h: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Log odds of the side that the word is on, at each halving."""
+        out = np.empty(len(self.slot), np.float32)
+        for words, places, (k, d) in self.groups:
+            np.matmul(nodes[places].reshape(k, d, WIDTH), h[words, :, None], out=out[places].reshape(k, d, 1))
+        out *= self.side
+        out += self.odds
+        return out
+
+
+class _Paths:
+    """Ways through the tree to the words of a block; each different word's is found once."""
+
+    def __init__(self, tree: Tree, leaves: np.ndarray):
+        different, self.which = np.unique(leaves, return_inverse=True)
+        self.kind, self.depth, self.slot, self.side, self.odds = tree.paths(different)
+        self.begin = np.cumsum(self.depth) - self.depth
+
+    def step(self, own: np.ndarray) -> _Step:
+        which = self.which[own]
+        order = np.argsort(self.depth[which].astype(np.uint16), kind="stable")
+        own, which = own[order], which[order]
+        depth = self.depth[which]
+        ends = np.cumsum(depth)
+        word = np.repeat(np.arange(len(own)), depth)
+        at = np.arange(len(word)) + (self.begin[which] - (ends - depth)).take(word)
+        groups, a, b = [], 0, 0
+        for d, k in enumerate(np.bincount(depth).tolist()):
+            if k and d:
+                groups.append((slice(a, a + k), slice(b, b + k * d), (k, d)))
+            a, b = a + k, b + k * d
+        return _Step(own, self.kind[which], word, self.slot.take(at), self.side.take(at), self.odds.take(at), groups)
+
+
+def _move(parameter: np.ndarray, held: np.ndarray, gradient: np.ndarray) -> None:
+    """An Adagrad step; rows without a gradient stay."""
+    held += gradient * gradient
+    parameter -= RATE * gradient / np.sqrt(held + 1e-8)
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Network:
-    """From all documents. What reaches the driver is the vocabulary's keys and counts, and one set of parameters a round;
-    tasks' parameters are added up by a shuffle. The rounds share out the residues, so each word is a target once."""
-    network = Network.start(counts(docs, text_col))
+def _read(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of the words of some documents one after another, and each document's number of words."""
+    found = [_numbers(x) for x in data]
+    return (np.concatenate(found) if found else np.zeros(0, np.int64)), np.array([len(x) for x in found], np.int64)
+
+
+def fit(documents: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
+    """From documents as ranks. One set of parameters a round reaches the driver; tasks' parameters are added up by a
+    shuffle. The rounds share out the residues, so each word is a target once."""
+    network = Network.start(tree)
     size = len(network.rows())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, learned = Network(network.keys, network.ranks, network.below, network.edges, *(p.copy() for p in network.parameters())), {}, 0
+        own, learned = Network(network.tree, *(p.copy() for p in network.parameters())), 0
         memory = [np.zeros_like(p) for p in own.parameters()]
         for whole in batches:
-            for batch in blocks(whole, "text", 4 << 20):
-                learned += own.learn(*own.read(batch.column("text"), known), memory, residues)
+            for batch in blocks(whole, "leaves", 2 << 20):
+                learned += own.learn(*_read(batch.column("leaves").to_pylist()), memory, residues)
         if learned:
             rows = own.rows().astype(np.float64) * learned
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(size, dtype=np.int32)), pa.array(np.full(size, learned, np.int64))] + [pa.array(rows[:, k].astype(np.float32)) for k in range(WIDTH)],
                 ["row", "learned", *[f"v{k}" for k in range(WIDTH)]],
             )
+        del own, memory
+        release()
 
-    texts = docs.select(F.col(text_col).alias("text"))
     schema = "row int, learned long, " + ", ".join(f"v{k} float" for k in range(WIDTH))
     for r in range(min(rounds, MASKED)):
         residues = range(r, MASKED, min(rounds, MASKED))
-        summed = texts.mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).collect()
-        if not summed:
+        summed = documents.select("leaves").mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).toArrow()
+        if not summed.num_rows:
             break
         rows = np.zeros((size, WIDTH))
-        for found in summed:
-            rows[found["row"]] = found[1:]
+        rows[summed.column("row").to_numpy()] = np.stack([summed.column(f"v{k}").to_numpy() for k in range(WIDTH)], axis=1)
         network.put(rows)
     return network
 
 
-def score(docs: DataFrame, network: Network, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (its columns ``keep``, default all) with n_tokens (long), log_likelihood (the sum over all words, in nats)
-    and mean_log_prob (null without a word).
+_NEW = ("n_tokens", "log_likelihood", "mean_log_prob")
 
-    Null and empty texts have no words and a sum of 0. Long texts are scored whole. Each row stands by itself: repeated
-    rows agree, an empty table stays empty. Columns of these names are replaced.
-    """
-    new = ("n_tokens", "log_likelihood", "mean_log_prob")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    chosen = docs.select(*kept, F.col(f"`{text_col}`").alias("text of doc"))
+
+def judge(documents: DataFrame, network: Network, names: list[str]) -> DataFrame:
+    """Documents as ranks, their columns by ``names``, with the three new columns."""
+    inside = documents.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
         for whole in batches:
-            for batch in blocks(whole, "text of doc", 8 << 20):
-                words, sizes = network.read(batch.column("text of doc"), known)
-                # Sums per text, not differences of one long running sum, so that a text's score is the same in any batch.
+            for batch in blocks(whole, "leaves", 2 << 20):
+                leaves, sizes = _read(batch.column("leaves").to_pylist())
+                # Sums per text, not differences of one long running sum, so that a text's score does not depend on its place.
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                total = np.bincount(owner, network.log_probabilities(words, sizes), len(sizes)) if len(words) else np.zeros(len(sizes))
+                total = np.bincount(owner, network.log_probabilities(leaves, sizes), len(sizes)) if len(leaves) else np.zeros(len(sizes))
                 mean = pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes.astype(np.int64)), pa.array(total), mean], [*kept, *new])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), pa.array(total), mean], [*inside, *_NEW])
+        release()
+
+    fields = [T.StructField(n, k()) for n, k in zip(_NEW, (T.LongType, T.DoubleType, T.DoubleType), strict=True)]
+    return documents.mapInArrow(run, T.StructType([*(documents.schema[c] for c in inside), *fields])).toDF(*names, *_NEW)
+
+
+@dataclass
+class Model:
+    """A network, what its tasks know of the vocabulary, and the vocabulary's table."""
+
+    network: Network
+    words: Words
+    table: DataFrame
+
+
+def _learned(cuts: DataFrame, names: list[str], rounds: int) -> tuple[Model, DataFrame]:
+    table = vocabulary(cuts)
+    words = Words.of(table)
+    documents = ranked(cuts, table, words, names)
+    return Model(fit(documents, words.tree, rounds), words, table), documents
+
+
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
+    """From all documents."""
+    return _learned(cut(docs, text_col, []), [], rounds)[0]
+
+
+def _kept(docs: DataFrame, keep: list[str] | None) -> list[str]:
+    return [c for c in (docs.columns if keep is None else keep) if c not in _NEW]
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``keep``, default all) with n_tokens (long), log_likelihood (the sum over all words, in nats)
+    and mean_log_prob (null without a word).
+
+    Null and empty texts have no words and a sum of 0. Long texts are scored whole. Each row stands by itself: repeated
+    rows agree to rounding, an empty table stays empty. Columns of these names are replaced.
+    """
+    names = _kept(docs, keep)
+    return judge(ranked(cut(docs, text_col, names), model.table, model.words, names), model.network, names)
+
 
-    fields = [T.StructField(n, k()) for n, k in zip(new, (T.LongType, T.DoubleType, T.DoubleType), strict=True)]
-    return chosen.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *fields]))
+def train_and_score(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """:func:`score` of the documents that the network is trained on; their text is read once."""
+    names = _kept(docs, keep)
+    model, documents = _learned(cut(docs, text_col, names), names, rounds)
+    return judge(documents, model.network, names)

@@ -144,7 +144,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return lmscore.score(docs, lmscore.train(docs), keep=["doc_id"])
+    return lmscore.train_and_score(docs, keep=["doc_id"])
 
 
 @query
