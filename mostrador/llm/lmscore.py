@@ -36,7 +36,7 @@ from mostrador.llm.common import blocks, own_copy, release, written
 
 INPUTS = 2048
 CLASSES, SHARED = 64, 16
-#: Halvings with an output of their own; the deeper ones share as many.
+#: Halvings with an output of their own; the deeper ones share as many. A power of two, at most 2**15.
 NODES = 1 << 13
 SIDE = 2
 WIDTH = 16
@@ -226,40 +226,55 @@ class Tree:
         """Class and number of halvings of each leaf; and of all halvings one after another the slot of the output, the
         side of the leaf (1 for the upper half, else -1), and the log odds of that side by the counts."""
         item = self.items_of(leaf)
-        kind = self.classes_of(item)
-        levels = []
-        which = np.flatnonzero(item >= self.own)
-        node = self.root[kind[which] - (CLASSES - SHARED)]
-        while True:
-            more = node >= 0
-            which, node = which[more], node[more]
-            if not len(which):
-                break
-            up = item[which] >= self.mid[node]
-            levels.append((which, np.where(node < NODES, node, NODES + node % NODES), up, self.odds[node]))
-            node = np.where(up, self.upper[node], self.lower[node])
-        which = np.flatnonzero(np.diff(self.first)[item] > 1)
-        low, high = self.first[item[which]], self.first[item[which] + 1]
-        while True:
-            more = high - low > 1
-            which, low, high = which[more], low[more], high[more]
-            if not len(which):
-                break
-            mid = (low + high) >> 1
-            up = leaf[which] >= mid
-            levels.append((which, NODES + mid % NODES, up, np.log((high - mid) / (mid - low))))
-            low, high = np.where(up, mid, low), np.where(up, high, mid)
-        depth = np.zeros(len(leaf), np.int64)
-        for which, *_ in levels:
-            depth[which] += 1
-        at = np.cumsum(depth) - depth
-        slot, side, odds = np.zeros(depth.sum(), np.int64), np.zeros(depth.sum(), np.float32), np.zeros(depth.sum(), np.float32)
-        for which, s, up, o in levels:
-            here = at[which]
-            sign = np.where(up, 1, -1)
-            slot[here], side[here], odds[here] = s, sign, o * sign
-            at[which] += 1
-        return kind, depth, slot, side, odds
+        kind, inside = self.classes_of(item), leaf - self.first[item]
+        several, which = np.unique(item, return_inverse=True)
+        slots, sides, odds = self._between(several)
+        sizes = np.diff(self.first)[several]
+        parts = []
+        for a in range(0, len(leaf), 1 << 12):
+            own = which[a : a + (1 << 12)]
+            last = _within(inside[a : a + (1 << 12)], sizes[own], self.first[several[own]])
+            rows = [np.concatenate((x[own], y), axis=1) for x, y in zip((slots, sides, odds), last, strict=True)]
+            real = np.flatnonzero(rows[1].ravel())
+            parts.append((np.bincount(real // rows[1].shape[1], minlength=len(own)), rows[0].ravel()[real].astype(np.int64), *(r.ravel()[real] for r in rows[1:])))
+        if not parts:
+            return kind, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32)
+        return kind, *(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _between(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slots, sides and log odds of the halvings on the way to each item, a column a level. No halving: side 0."""
+        node = np.full(len(items), -1)
+        beyond = items >= self.own
+        node[beyond] = self.root[self.classes_of(items[beyond]) - (CLASSES - SHARED)]
+        columns = []
+        while (node >= 0).any():
+            real, safe = node >= 0, np.maximum(node, 0)
+            up = items >= self.mid[safe]
+            side = np.where(up, 1, -1) * real
+            columns.append((np.where(safe < NODES, safe, NODES + safe % NODES), side, self.odds[safe] * side))
+            node = np.where(real, np.where(up, self.upper[safe], self.lower[safe]), -1)
+        if not columns:
+            columns = [(np.zeros(len(items), np.int64),) * 3]
+        return tuple(np.stack(c, axis=1).astype(kind) for c, kind in zip(zip(*columns, strict=True), (np.uint16, np.float32, np.float32), strict=True))
+
+
+def _within(place: np.ndarray, size: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :meth:`Tree._between`, from an item of ``size`` leaves of one count to the leaf at ``place`` in it: the bits of the
+    place, the highest first, where a leaf with the bit set exists. The item's leaves begin with ``first``."""
+    most = int(size.max(initial=1))
+    if most < 1 << 30:
+        place, size = place.astype(np.int32), size.astype(np.int32)
+    bits = np.arange((most - 1).bit_length(), dtype=place.dtype)[::-1]
+    above = place[:, None] >> bits
+    middle = (above | 1) << bits  # first place of the upper half
+    more = size[:, None] - middle
+    side = ((above & 1) * 2 - 1).astype(np.float32)
+    side[more <= 0] = 0
+    odds = np.zeros(side.shape, np.float32)
+    uneven = np.nonzero((more > 0) & (more < 1 << bits))
+    odds[uneven] = np.log(more[uneven] / (1 << bits[uneven[1]])) * side[uneven]
+    slot = (middle + (first % NODES).astype(place.dtype)[:, None]) & place.dtype.type(NODES - 1)
+    return (slot + NODES).astype(np.uint16), side, odds
 
 
 @dataclass
@@ -479,7 +494,16 @@ class _Paths:
     """Ways through the tree to the words of a block; each different word's is found once."""
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
-        different, self.which = np.unique(leaves, return_inverse=True)
+        # Frequent words are found by place in a table, so only the rare ones are sorted.
+        frequent = leaves < HEAD
+        few = np.flatnonzero(np.bincount(leaves[frequent], minlength=HEAD))
+        others, which = np.unique(leaves[~frequent], return_inverse=True)
+        different = np.concatenate([few, others])
+        table = np.zeros(HEAD, np.int64)
+        table[few] = np.arange(len(few))
+        self.which = np.empty(len(leaves), np.int64)
+        self.which[frequent] = table[leaves[frequent]]
+        self.which[~frequent] = len(few) + which
         self.kind, self.depth, self.slot, self.side, self.odds = tree.paths(different)
         self.begin = np.cumsum(self.depth) - self.depth
 
@@ -501,8 +525,13 @@ class _Paths:
 
 def _move(parameter: np.ndarray, held: np.ndarray, gradient: np.ndarray) -> None:
     """An Adagrad step; rows without a gradient stay."""
-    held += gradient * gradient
-    parameter -= RATE * gradient / np.sqrt(held + 1e-8)
+    square = gradient * gradient
+    held += square
+    np.add(held, np.float32(1e-8), out=square)
+    np.sqrt(square, out=square)
+    np.divide(gradient, square, out=square)
+    square *= np.float32(RATE)
+    parameter -= square
 
 
 def _read(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
