@@ -46,25 +46,21 @@ RATE = 0.1
 #: Words in a step of training. Gradients of repeated rows add up in dense sums, which pays for larger steps.
 BATCH = 8192
 _CHUNK = 8192
-#: Words whose hashes a task remembers; bounds its memory.
-REMEMBERED = 500_000
 #: The most frequent words, whose ranks travel with the tasks and so don't meet in the join.
 HEAD = 1 << 15
 _STEPS = [s for s in range(-SIDE, SIDE + 1) if s]
 
 
-def _different(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _different(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys (64-bit hashes, 0 for an empty piece) of the different words of all texts, which of them each word is, and each
     text's number of words. Words are what white space parts, in lower case. Null counts as empty."""
     lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts))))
     coded = pc.dictionary_encode(lists.flatten())
-    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    if len(known) > REMEMBERED:
-        known.clear()
-    for w in names:
-        if w not in known:
-            known[w] = (xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63) or 1) if w.strip() else 0
-    keys = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+    names = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    keys = (np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names)) ^ np.uint64(1 << 63)).view(np.int64)
+    keys[keys == 0] = 1
+    keys[pc.equal(pc.binary_length(coded.dictionary), 0).to_numpy(zero_copy_only=False)] = 0
+    del names
     at = coded.indices.to_numpy(zero_copy_only=False)
     offsets = lists.offsets.to_numpy()
     offsets = offsets - offsets[0]
@@ -73,9 +69,9 @@ def _different(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.n
     return keys, at[real], np.diff(ends)
 
 
-def tokens(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the words of all texts one after another, and each text's number of words."""
-    keys, at, sizes = _different(texts, known)
+    keys, at, sizes = _different(texts)
     return keys[at], sizes
 
 
@@ -101,10 +97,9 @@ def cut(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)], F.col(f"`{text_col}`").alias("text of doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
         for whole in batches:
             for batch in blocks(whole, "text of doc"):
-                keys, at, sizes = _different(batch.column("text of doc"), known)
+                keys, at, sizes = _different(batch.column("text of doc"))
                 n = np.bincount(at, minlength=len(keys))
                 order = np.argsort(-n, kind="stable")[: np.count_nonzero(n)]
                 code = np.zeros(len(keys), np.int64)
@@ -115,7 +110,6 @@ def cut(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
                     *(pa.array([x], pa.binary()) for x in (_planes(sizes), _planes(code[at]), keys[order].astype("<i8").tobytes(), _planes(n[order]))),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "docs", "sizes", "codes", "keys", "n"])
-        del known
         release()
 
     inner = T.StructType([T.StructField(n, rows.schema[n].dataType) for n in inside] or [T.StructField("row", T.LongType())])
@@ -131,6 +125,7 @@ def vocabulary(cuts: DataFrame) -> DataFrame:
         for batch in batches:
             for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist(), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, "<i8")), pa.array(_numbers(n))], ["key", "n"])
+        release()
 
     found = cuts.select("keys", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     dealt = found.repartitionByRange(F.desc("n"), "key").sortWithinPartitions(F.desc("n"), "key")
@@ -236,9 +231,9 @@ class Tree:
             last = _within(inside[a : a + (1 << 12)], sizes[own], self.first[several[own]])
             rows = [np.concatenate((x[own], y), axis=1) for x, y in zip((slots, sides, odds), last, strict=True)]
             real = np.flatnonzero(rows[1].ravel())
-            parts.append((np.bincount(real // rows[1].shape[1], minlength=len(own)), rows[0].ravel()[real].astype(np.int64), *(r.ravel()[real] for r in rows[1:])))
+            parts.append((np.bincount(real // rows[1].shape[1], minlength=len(own)), *(r.ravel()[real] for r in rows)))
         if not parts:
-            return kind, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32)
+            return kind, np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros(0, np.float32)
         return kind, *(np.concatenate(x) for x in zip(*parts, strict=True))
 
     def _between(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -318,6 +313,7 @@ def ranked(cuts: DataFrame, table: DataFrame, words: Words, names: list[str]) ->
                 keys = np.frombuffer(data, "<i8")
                 at = np.flatnonzero(words.head(keys) < 0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at.astype(np.int32)), pa.array(keys[at])], ["block", "at", "key"])
+        release()
 
     met = cuts.select("block", "keys").mapInArrow(rare, "block long, at int, key long").join(table.select("key", "leaf"), "key", "left").select("block", "at", "leaf")
     inner = cuts.schema["docs"].dataType.elementType
@@ -335,7 +331,10 @@ def ranked(cuts: DataFrame, table: DataFrame, words: Words, names: list[str]) ->
             docs.append(block.column("docs").slice(row, 1).combine_chunks().flatten())
             leaves += [_planes(x) for x in np.split(of, ends[:-1])]
         columns = [pa.chunked_array([d.flatten()[i] for d in docs]) for i in range(len(fields))]
-        return pa.Table.from_arrays([*columns, pa.array(leaves, pa.binary())], names=[*fields, "leaves"])
+        placed = pa.Table.from_arrays([*columns, pa.array(leaves, pa.binary())], names=[*fields, "leaves"])
+        del docs, leaves
+        release()
+        return placed
 
     schema = T.StructType([*(inner[f] for f in fields), T.StructField("leaves", T.BinaryType())])
     sides = cuts.drop("n").groupBy("block").cogroup(met.groupBy("block"))
@@ -520,7 +519,7 @@ class _Paths:
             if k and d:
                 groups.append((slice(a, a + k), slice(b, b + k * d), (k, d)))
             a, b = a + k, b + k * d
-        return _Step(own, self.kind[which], word, self.slot.take(at), self.side.take(at), self.odds.take(at), groups)
+        return _Step(own, self.kind[which], word, self.slot.take(at).astype(np.int64), self.side.take(at), self.odds.take(at), groups)
 
 
 def _move(parameter: np.ndarray, held: np.ndarray, gradient: np.ndarray) -> None:
@@ -550,7 +549,7 @@ def fit(documents: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
         own, learned = Network(network.tree, *(p.copy() for p in network.parameters())), 0
         memory = [np.zeros_like(p) for p in own.parameters()]
         for whole in batches:
-            for batch in blocks(whole, "leaves", 2 << 20):
+            for batch in blocks(whole, "leaves", 4 << 20):
                 learned += own.learn(*_read(batch.column("leaves").to_pylist()), memory, residues)
         if learned:
             rows = own.rows().astype(np.float64) * learned
@@ -582,7 +581,7 @@ def judge(documents: DataFrame, network: Network, names: list[str]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "leaves", 2 << 20):
+            for batch in blocks(whole, "leaves", 4 << 20):
                 leaves, sizes = _read(batch.column("leaves").to_pylist())
                 # Sums per text, not differences of one long running sum, so that a text's score does not depend on its place.
                 owner = np.repeat(np.arange(len(sizes)), sizes)

@@ -62,7 +62,7 @@ def test_score_is_the_sum_over_all_words(spark):
     assert len(rows) == 30 + 2 * len(ODD) and set(rows[0].asDict()) == {"doc_id", "text", "n_chars", *lmscore._NEW}
     ranks = {r["key"]: r["leaf"] for r in model.table.collect()}
     for r in rows:
-        words, _ = lmscore.tokens(pa.array([r["text"]], pa.string()), {})
+        words, _ = lmscore.tokens(pa.array([r["text"]], pa.string()))
         assert r["n_tokens"] == len((r["text"] or "").split())
         assert (r["mean_log_prob"] is None) == (len(words) == 0)
         if len(words) <= 400:
@@ -90,8 +90,7 @@ def test_vocabulary_ranks_every_word_of_every_document(spark, monkeypatch):
     cuts = lmscore.cut(frame(spark, texts).repartition(5), keep=["doc_id"])
     table = lmscore.vocabulary(cuts)
     rows = sorted((r["leaf"], r["key"], r["n"]) for r in table.collect())
-    keys = {}
-    expected = Counter(w for t in texts for w in lmscore.tokens(pa.array([t], pa.string()), keys)[0].tolist())
+    expected = Counter(w for t in texts for w in lmscore.tokens(pa.array([t], pa.string()))[0].tolist())
     assert [r[0] for r in rows] == list(range(len(expected))) and {k: n for _, k, n in rows} == expected
     assert [n for _, _, n in rows] == sorted(expected.values(), reverse=True)
     # Documents become the ranks of their words, in order.
@@ -99,7 +98,7 @@ def test_vocabulary_ranks_every_word_of_every_document(spark, monkeypatch):
     assert len(words.keys) == 5
     ranks = {k: leaf for leaf, k, _ in rows}
     for r in lmscore.ranked(cuts, table, words, ["doc_id"]).collect():
-        own = lmscore.tokens(pa.array([texts[r[0]]], pa.string()), {})[0].tolist()
+        own = lmscore.tokens(pa.array([texts[r[0]]], pa.string()))[0].tolist()
         assert lmscore._numbers(bytes(r["leaves"])).tolist() == [ranks[k] for k in own]
 
 
