@@ -288,3 +288,12 @@ def test_a_copy_that_lacks_bytes_is_refused(spark, land, tmp_path):
 def test_missing_input_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         landing.land_lines(spark, str(tmp_path / "none.csv"), "ventas", datetime.now(), str(tmp_path))
+
+
+def test_lines_are_placed_in_one_pass(land, monkeypatch):
+    """Lines with quoted line ends are sorted by split once, whatever state a split starts in, and stored before any join."""
+    plans, kept = [], sales_csv.stored
+    monkeypatch.setattr(sales_csv, "stored", lambda spark, df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(spark, df, name))
+    rows = sales_csv.scan(*land(HEADER + 'a,2025-03-09,1,1,"1\n\n2",Tienda\n\nb,2025-03-09,2,1,3,Tienda\n'))
+    assert [(r.folio, r.registro, r.precio_unitario) for r in rows.orderBy("registro").collect()] == [("a", 2, "1\n\n2"), ("b", 3, "3")]
+    assert plans[0].count("Join") == 1 and "LeftSemi" in plans[0]
