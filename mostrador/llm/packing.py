@@ -158,7 +158,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at, part = WordEncoder(tokenizer_path), 0, TaskContext.get().partitionId()
         for whole in batches:
-            for batch in blocks(whole, "t", 4 << 20):
+            for batch in blocks(whole, "t", 1 << 20):
                 flat, own = encoder.encode(batch.column("t"))
                 ends = np.cumsum(own)
                 ids = [flat[e - n : e].tobytes() + end for e, n in zip(ends.tolist(), own.tolist(), strict=True)]
