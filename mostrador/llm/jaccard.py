@@ -12,9 +12,11 @@ many shingles that the other lacks, so bit counts bound the overlap from above.
 the exact intersection of their sorted arrays.
 
 Equal sets are one class from the start. In every tile all sets are first held against its smallest one, a row per set.
-Sets that this links are one component; tiles whose sets are all in one component are done. The others are compared
-through signatures in blocks of bounded size, each set with its best partners of other components first, which ties what
-remains of large groups, and at last with all that the bound lets through.
+Sets that this links are one component; tiles whose sets are all in one component are done. Sets that the other tiles
+chain together are a group. A group of bounded size meets in one task, each set once, however many tiles its pairs share;
+there all pairs of different components are decided and only the links that tie components come out. The tiles of larger
+groups are compared through signatures in blocks of bounded size, each set with its best partners of other components
+first, which ties what remains of them, and at last with all that the bound lets through.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ BAND = (5, 4)
 POOR = 2
 #: Sets in a block of a tile.
 BLOCK = 4096
+#: Most sets, and shingles of all its sets (32 MB), of a group that one task decides.
+GROUP = (4096, 1 << 22)
 #: Partners that a set proposes in a block, round after round; None: all.
 PROPOSALS = (2, 2, None)
 #: Bits of the filter (4 MB) that tells which sets meet others. Others that pass, too, only cost their transport.
@@ -210,18 +214,23 @@ def may_link(a: str, b: str, share: tuple[int, int] = SHARE, bits: int = BITS) -
     return overlap * (share[0] + share[1]) >= F.lit(share[0]) * (col(a, "n") + col(b, "n"))
 
 
+def alike(p: np.ndarray, q: np.ndarray, share: tuple[int, int] = SHARE) -> bool:
+    """Whether the intersection of two sorted sets is at least the share of their union."""
+    small, large = (p, q) if len(p) <= len(q) else (q, p)
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return share[1] * both >= share[0] * (len(p) + len(q) - both)
+
+
 def linked(pairs: DataFrame, sets: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The pairs (a, b) of nodes of ``sets`` (node, hashes) whose intersection is at least the share of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (p, q) if len(p) <= len(q) else (q, p)
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(share[1] * both >= share[0] * (len(p) + len(q) - both))
+            keep = [
+                alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), share)
+                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
 
     x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
@@ -294,16 +303,71 @@ def proposals(members: DataFrame, best: int | None, share: tuple[int, int] = SHA
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
 
 
+def _groups(rest: DataFrame) -> DataFrame:
+    """(node, grp) of the rows (key, node) of tiles: nodes that tiles chain together are one group."""
+    least = rest.groupBy("key").agg(F.min("node").alias("a"))
+    return _labelled(rest.select("node").distinct(), rest.join(least, "key").select("a", F.col("node").alias("b"))).withColumnRenamed("label", "grp")
+
+
+def _ties(label: np.ndarray, n: np.ndarray, bits: np.ndarray, hashes: list[np.ndarray], share: tuple[int, int], step: int = 256) -> list[tuple[int, int]]:
+    """Links (places) that tie the components of a group: the labels, and after them what links join. At most one less
+    than there are labels; every pair of different components that the bound lets through is decided."""
+    _, owner = np.unique(label, return_inverse=True)
+    out = []
+    for start in range(0, len(n), step):
+        rows, later = slice(start, min(start + step, len(n))), slice(start, len(n))
+        over = _overlaps(n, bits, rows, later) * (share[0] + share[1]) - share[0] * (n[rows, None] + n[None, later])
+        i, j = np.nonzero((over >= 0) & (owner[rows, None] != owner[None, later]))
+        for x, y in zip((start + i[i < j]).tolist(), (start + j[i < j]).tolist(), strict=True):
+            if owner[x] != owner[y] and alike(hashes[x], hashes[y], share):
+                owner[owner == owner[y]] = owner[x]
+                out.append((x, y))
+    return out
+
+
+def group_links(members: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """(a, b) of the rows (grp, node, label, n, bits, hashes) of groups of at most GROUP: links that tie all components of
+    a group which links connect."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by grp; the last group of a batch waits for the next."""
+        kept: list[pa.RecordBatch] = []
+
+        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.concat_batches(parts)
+            node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+            bits = table.column("bits").flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+            hashes = [np.frombuffer(h.as_buffer(), np.uint64) for h in table.column("hashes")]
+            ties = np.array(_ties(label, n, bits, hashes, share), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(node[ties[:, 0]]), pa.array(node[ties[:, 1]])], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grp = batch.column("grp").to_numpy()
+            edges = [0, *(np.flatnonzero(grp[1:] != grp[:-1]) + 1).tolist(), len(grp)]
+            for s, e in zip(edges, edges[1:], strict=False):
+                if kept and kept[0].column("grp")[0].as_py() != grp[s]:
+                    yield done(kept)
+                    kept = []
+                kept.append(batch.slice(s, e - s))
+        if kept:
+            yield done(kept)
+
+    return members.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "a long, b long")
+
+
 def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``sets``."""
     found = components(links)
     return sets.select("node").join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def links(docs: DataFrame, scanned: DataFrame, size: int = SHINGLE, share: tuple[int, int] = SHARE) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, scanned: DataFrame, size: int = SHINGLE, share: tuple[int, int] = SHARE, group: tuple[int, int] = GROUP) -> DataFrame:
     """Sets (h1, h2, node, label) that meet others, with the component of each by its links.
 
-    ``docs``: (id, t binary); ``scanned``: what :func:`scan` gives for them.
+    ``docs``: (id, t binary); ``scanned``: what :func:`scan` gives for them; ``group``: most sets and shingles of a group
+    that one task decides.
     """
     tiled = scanned.select("h1", F.explode("keys").alias("key"))
     shared = tiled.groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most")).where("least < most")
@@ -324,6 +388,15 @@ def links(docs: DataFrame, scanned: DataFrame, size: int = SHINGLE, share: tuple
         rest = written(rest.join(several, "key"), "jaccard-rest")
         if rest.isEmpty():
             break
+        groups = written(_groups(rest).join(slim.select("node", "n"), "node"), "jaccard-groups")
+        sizes = groups.groupBy("grp").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+        few = (F.col("sets") <= group[0]) & (F.col("shingles") <= group[1])
+        whole = groups.join(sizes.where(few).select("grp"), "grp").select("grp", "node").join(labels, "node").join(sets.select("node", "n", "bits", "hashes"), "node")
+        found = written(found.unionByName(group_links(whole, share)), "jaccard-links")
+        rest = written(rest.join(groups.join(sizes.where(~few).select("grp"), "grp").select("node"), "node", "left_semi"), "jaccard-rest")
+        if rest.isEmpty():
+            labels = written(_labelled(slim, found), "jaccard-labels")
+            break
         proposed = proposals(rest.join(slim.select("node", "n", "bits"), "node"), best, share)
         found = written(found.unionByName(linked(proposed, sets, share)), "jaccard-links")
         rest = rest.select("key", "node")

@@ -107,6 +107,64 @@ def test_large_loose_group_in_many_blocks(spark, monkeypatch):
     assert 3 < len({c for _, _, c in expected}) < 150
 
 
+def misses(copies=60, length=90):
+    """Texts that share long passages, most pairs of which just miss the threshold."""
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(length)]
+    texts = []
+    for k in range(copies):
+        copy = list(words)
+        for at in rng.sample(range(length), 1 + k % 2):
+            copy[at] = f"x{k}x{at}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_a_group_meets_once_in_one_task(spark, monkeypatch):
+    """Pairs that share many tiles do not come out of each of them."""
+    texts = misses()
+    monkeypatch.setattr(jaccard, "proposals", lambda *a, **k: pytest.fail("a small group was compared tile by tile"))
+    came = []
+    decide = jaccard.group_links
+    monkeypatch.setattr(jaccard, "group_links", lambda members, share: came.append(members.count()) or decide(members, share))
+    expected = plain(list(enumerate(texts)))
+    assert rows_of(jaccard.near_duplicates(frame(spark, texts).repartition(4))) == sorted(expected, key=repr)
+    assert came and all(n <= len(texts) for n in came)
+
+
+def test_larger_groups_give_the_same_components(spark):
+    texts = misses(40) + corpus(seed=32, n=10)[0]
+    docs = frame(spark, texts).select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("t"))
+    scanned = jaccard.scan(docs)
+    found = []
+    for group in (jaccard.GROUP, (2, 1 << 22), (4096, 1)):
+        rows = jaccard.links(docs, scanned, group=group).select("h1", "h2", "label").collect()
+        parts = {}
+        for r in rows:
+            parts.setdefault(r["label"], set()).add((r["h1"], r["h2"]))
+        found.append(sorted(map(sorted, parts.values())))
+    assert found[0] == found[1] == found[2]
+
+
+def test_ties_join_what_links_connect():
+    rng = np.random.default_rng(33)
+    base = np.unique(rng.integers(0, 1 << 63, 120, np.uint64))
+    sets = [np.unique(np.concatenate([np.delete(base, rng.integers(0, len(base), int(k))), rng.integers(0, 1 << 63, int(k), np.uint64)])) for k in rng.integers(2, 9, 50)]
+    n, bits = np.array([len(s) for s in sets]), np.stack([jaccard.signature(s) for s in sets]).view(np.uint64)
+    label = np.arange(50) // 2
+    ties = jaccard._ties(label, n, bits, sets, (90, 100), step=7)
+
+    def root(edges):
+        of = label.copy()
+        for x, y in edges:
+            of[of == of[y]] = of[x]
+        return [int(np.flatnonzero(of == o)[0]) for o in of]
+
+    every = [(i, j) for i in range(50) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 90 * len(np.union1d(sets[i], sets[j]))]
+    assert root(ties) == root(every) and set(ties) <= {(j, i) for i, j in every}
+    assert len(ties) < len(set(label.tolist()))
+
+
 def test_alike_sets_share_a_tile():
     rng = np.random.default_rng(26)
     bands = jaccard.Bands()
