@@ -247,6 +247,32 @@ def test_landed_files_come_back_byte_for_byte(spark, land, tmp_path, split):
     assert lines.select("archivo_no", "bloque").distinct().count() > (10 if split == "40" else 7)
 
 
+def test_pieces_are_dealt_by_the_sizes_of_the_files(spark, land, monkeypatch):
+    """In ranges that the file list gives: the pieces are not worked out a first time to find them."""
+    sources = [HEADER + f"{i}\n" * (50 * i + 1) for i in range(6)]
+    lines, files = land(*sources)
+    total = sum(len(s.encode()) for s in sources)
+    monkeypatch.setattr(landing, "_ranges", lambda spark, size: 4 if size == total else pytest.fail("not the bytes of all files"))
+    pieces = landing.restored_pieces(lines, files, 16)
+    assert "rangepartitioning" not in pieces._jdf.queryExecution().toString()
+    rows = pieces.select(F.spark_partition_id().alias("p"), "archivo_no", "desde", "contenido").collect()
+    assert [(r.archivo_no, r.desde) for r in rows] == sorted((r.archivo_no, r.desde) for r in rows)
+    assert {r.p for r in rows} == {0, 1, 2, 3}
+    held = [sum(len(r.contenido) for r in rows if r.p == p) for p in range(4)]
+    assert sum(held) == total and max(held) - min(held) < 64
+    assert b"".join(bytes(r.contenido) for r in rows).decode() == "".join(sources)
+
+
+@pytest.mark.parametrize("total, asked, ranges", [(0, 8, 1), (1, 8, 1), (3 << 20, 8, 3), (1 << 30, 8, 8), ((1 << 40) + 1, 8, 8193)])
+def test_number_of_ranges_follows_the_bytes(spark, total, asked, ranges):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(asked))
+    try:
+        assert landing._ranges(spark, total) == ranges
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_copies_are_compared_with_their_files(spark, land, tmp_path):
     lines, _ = land(HEADER + "one\ntwo\n", HEADER + "one\ntwo\n")
     folder = str(tmp_path / "in")
