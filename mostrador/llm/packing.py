@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mostrador.llm.common import blocks, own_copy, release, spread, written
+from mostrador.llm.common import blocks, own_copy, release, small_batches, spread, written
 
 LENGTH = 4096
 END_ID = 2
@@ -173,7 +173,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
         del encoder
         release()
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    chosen = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     return written(chosen.mapInArrow(run, f"id {kind}, part int, local_start long, n_tokens long, ids binary"), "pack-tokens")
 
 

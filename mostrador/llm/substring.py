@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import WORD, blocks, release, written
+from mostrador.llm.common import WORD, blocks, release, small_batches, written
 
 LEAST = 50
 GRAM = 16
@@ -290,7 +290,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     tag = F.xxhash64(F.col(f"`{text_col}`")).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    source = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    source = small_batches(docs).select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     found = spans(source).groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("pieces"))
     inside = [f"k{i}" for i in range(len(kept))]
     at = inside[kept.index(text_col)]

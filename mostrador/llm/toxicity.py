@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import add_columns, blocks, own_copy, release, sample_ids, written
+from mostrador.llm.common import add_columns, blocks, own_copy, release, sample_ids, small_batches, written
 
 SIGNS = 64
 MAX_GAP = 2
@@ -391,7 +391,7 @@ def all_marked_words(texts: DataFrame, marks: DataFrame) -> dict[str, float]:
                 del total, every
         release()
 
-    counted = only_met(texts, kept).join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
+    counted = only_met(small_batches(texts), kept).join(kept.select("id", "label"), "id").select("text", "label").mapInArrow(run, "word string, k long, j long").groupBy("word").agg(F.sum("k").alias("k"), F.sum("j").alias("j"))
     k, j, rate = F.col("k"), F.col("j"), (F.col("k") + F.col("j")) / F.lit(bad + good)
     found = 2 * (k * F.log(k / bad / rate) + F.when(j > 0, j * F.log(j / good / rate)).otherwise(0.0))
     least = EVIDENCE + 2 * np.log(max(1.0, (bad + good) / (2 * SAMPLE_PER_LABEL)))
@@ -414,7 +414,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     """
 
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
-    chosen = docs.select(*kept, F.col(f"`{text_col}`").alias("judged text"))
+    chosen = small_batches(docs).select(*kept, F.col(f"`{text_col}`").alias("judged text"))
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
