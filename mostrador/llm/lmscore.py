@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mostrador.llm.common import blocks, own_copy, release, written
+from mostrador.llm.common import blocks, own_copy, release, small_batches, written
 
 INPUTS = 2048
 CLASSES, SHARED = 64, 16
@@ -49,6 +49,9 @@ _CHUNK = 8192
 #: The most frequent words, whose ranks travel with the tasks and so don't meet in the join.
 HEAD = 1 << 15
 _STEPS = [s for s in range(-SIDE, SIDE + 1) if s]
+_ONES = np.ones(CLASSES, np.float32)
+#: The most frequent words, whose ways through the tree a task keeps from block to block (about 150 bytes each).
+_KEPT = 1 << 17
 
 
 def _different(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,7 +59,7 @@ def _different(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text's number of words. Words are what white space parts, in lower case. Null counts as empty."""
     lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(own_copy(texts))))
     coded = pc.dictionary_encode(lists.flatten())
-    names = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    names = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
     keys = (np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names)) ^ np.uint64(1 << 63)).view(np.int64)
     keys[keys == 0] = 1
     keys[pc.equal(pc.binary_length(coded.dictionary), 0).to_numpy(zero_copy_only=False)] = 0
@@ -64,7 +67,9 @@ def _different(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = coded.indices.to_numpy(zero_copy_only=False)
     offsets = lists.offsets.to_numpy()
     offsets = offsets - offsets[0]
-    real = keys[at] != 0  # leading and trailing white space gives empty pieces
+    if keys.all():
+        return keys, at, np.diff(offsets).astype(np.int64)
+    real = keys[at] != 0  # an empty text gives an empty piece
     ends = np.concatenate([[0], np.cumsum(real)])[offsets]
     return keys, at[real], np.diff(ends)
 
@@ -94,7 +99,7 @@ def cut(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     their numbers of words, their words as codes into the block's dictionary, and that dictionary's keys and counts."""
     kept = docs.columns if keep is None else keep
     inside = [f"k{i}" for i in range(len(kept))]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)], F.col(f"`{text_col}`").alias("text of doc"))
+    rows = small_batches(docs, 16 << 20).select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside, strict=True)], F.col(f"`{text_col}`").alias("text of doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -153,6 +158,10 @@ class Tree:
     odds: np.ndarray = field(default=None)  # log odds of the upper half by the counts
     lower: np.ndarray = field(default=None)  # next halving on either side, or -1
     upper: np.ndarray = field(default=None)
+    kept: tuple | None = field(default=None, repr=False, compare=False)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "kept": None}  # found anew in each task
 
     @staticmethod
     def build(counts: np.ndarray, sizes: np.ndarray) -> Tree:
@@ -230,8 +239,8 @@ class Tree:
             own = which[a : a + (1 << 12)]
             last = _within(inside[a : a + (1 << 12)], sizes[own], self.first[several[own]])
             rows = [np.concatenate((x[own], y), axis=1) for x, y in zip((slots, sides, odds), last, strict=True)]
-            real = np.flatnonzero(rows[1].ravel())
-            parts.append((np.bincount(real // rows[1].shape[1], minlength=len(own)), *(r.ravel()[real] for r in rows)))
+            real = np.flatnonzero(rows[1])
+            parts.append((np.count_nonzero(rows[1], axis=1), *(r.ravel().take(real) for r in rows)))
         if not parts:
             return kind, np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros(0, np.float32)
         return kind, *(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -316,6 +325,7 @@ def ranked(cuts: DataFrame, table: DataFrame, words: Words, names: list[str]) ->
         release()
 
     met = cuts.select("block", "keys").mapInArrow(rare, "block long, at int, key long").join(table.select("key", "leaf"), "key", "left").select("block", "at", "leaf")
+    small_batches(cuts)
     inner = cuts.schema["docs"].dataType.elementType
     fields = inner.fieldNames() if names else []
 
@@ -381,6 +391,17 @@ class Network:
         total += self.shift
         return np.tanh(total, out=total)
 
+    def logits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the classes (word x class), less a number for each word so that exp() fits; and ``h`` with a column of ones."""
+        ones = np.ones((len(h), WIDTH + 1), np.float32)
+        ones[:, :WIDTH] = h
+        out = ones @ np.concatenate([self.layer, self.bias[None]])
+        # |h| <= 1, so this bounds all logits, and from below the largest of each word.
+        reach = np.abs(self.layer).sum(axis=0)
+        if (self.bias + reach).max() > 60 or (self.bias - reach).max() < -60:
+            out -= out.max(axis=1)[:, None]
+        return out, ones
+
     def log_probabilities(self, leaves: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each word (by its leaf), given both its sides."""
         row, at = self.laid_out(leaves, sizes)
@@ -388,11 +409,9 @@ class Network:
         for a in range(0, len(leaves), _CHUNK):
             step = paths.step(np.arange(a, min(a + _CHUNK, len(leaves))))
             h = self.hidden(row, at[step.own])
-            logits = self.layer.T @ h.T
-            logits += self.bias[:, None]
-            logits -= logits.max(axis=0)
-            found = logits[step.kind, np.arange(len(step.own))].astype(np.float64)
-            found -= np.log(np.exp(logits, out=logits).sum(axis=0))
+            logits = self.logits(h)[0]
+            found = logits[np.arange(len(step.own)), step.kind].astype(np.float64)
+            found -= np.log(np.exp(logits, out=logits) @ _ONES)
             value = step.values(h, self.nodes.take(step.slot, axis=0))
             # log(1 / (1 + exp(-value))): factors of 1 to 2 are multiplied first, as a word has fewer than 1,000 halvings.
             rest = np.exp(-np.abs(value)).astype(np.float64) + 1
@@ -408,7 +427,9 @@ class Network:
         row, at = self.laid_out(leaves, sizes)
         place = np.arange(len(leaves)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         residue = ((place + np.repeat(sizes, sizes)) % MASKED).astype(np.int8)
-        paths, learned = _Paths(self.tree, leaves), 0
+        targets = np.flatnonzero(np.isin(residue, list(residues)))
+        residue, at = residue[targets], at[targets]
+        paths, learned = _Paths(self.tree, leaves[targets]), 0
         for now in residues:
             chosen = np.flatnonzero(residue == now)
             learned += len(chosen)
@@ -416,14 +437,12 @@ class Network:
                 step = paths.step(chosen[a : a + BATCH])
                 here, count = at[step.own], len(step.own)
                 h = self.hidden(row, here)
-                logits = self.layer.T @ h.T
-                logits += self.bias[:, None]
-                logits -= logits.max(axis=0)
-                wrong = np.exp(logits, out=logits)
-                wrong /= wrong.sum(axis=0)
-                wrong[step.kind, np.arange(count)] -= 1
-                wrong /= count
-                back = (self.layer @ wrong).T.copy()
+                wrong, ones = self.logits(h)
+                np.exp(wrong, out=wrong)
+                wrong *= (np.float32(1 / count) / (wrong @ _ONES))[:, None]
+                wrong[np.arange(count), step.kind] -= np.float32(1 / count)
+                back = wrong @ self.layer.T
+                outer = ones.T @ wrong
                 nodes = self.nodes.take(step.slot, axis=0)
                 value = step.values(h, nodes)
                 off = np.exp(-np.abs(value))
@@ -432,23 +451,18 @@ class Network:
                 off *= np.float32(-1 / count)
                 for words, places, (k, d) in step.groups:
                     back[words] += np.matmul(off[places].reshape(k, 1, d), nodes[places].reshape(k, d, WIDTH))[:, 0]
-                _move(self.layer, memory[1], (wrong @ h).T)
-                _move(self.bias, memory[2], wrong.sum(axis=1))
+                _move(self.layer, memory[1], outer[:WIDTH])
+                _move(self.bias, memory[2], outer[WIDTH])
                 if len(off):
-                    gradient, sides, off = np.empty((WIDTH, len(self.nodes)), np.float32), h.T.astype(np.float64), off.astype(np.float64)
-                    for j in range(WIDTH):
-                        part = sides[j].take(step.word)
-                        part *= off
-                        gradient[j] = np.bincount(step.slot, part, len(self.nodes))
-                    _move(self.nodes, memory[4], np.ascontiguousarray(gradient.T))
+                    _move(self.nodes, memory[4], step.gradient(h, off, len(self.nodes)))
                 back *= 1 - h * h
                 _move(self.shift, memory[3], back.sum(axis=0))
-                sides, gradient = back.T.astype(np.float64), np.empty((WIDTH, INPUTS), np.float32)
+                sums, columns = np.zeros((WIDTH // 2, len(_STEPS), INPUTS), np.complex64), _pairs(back)
                 for p, offset in enumerate(_STEPS):
                     index = row[here + offset]
-                    for j in range(WIDTH):
-                        gradient[j] = np.bincount(index, sides[j], INPUTS)
-                    _move(self.embed[p], memory[0][p], np.ascontiguousarray(gradient.T))
+                    for column, found in zip(columns, sums, strict=True):
+                        np.add.at(found[p], index, column)
+                _move(self.embed, memory[0], _unpaired(sums).reshape(self.embed.shape))
         return learned
 
     def rows(self) -> np.ndarray:
@@ -473,7 +487,6 @@ class _Step:
 
     own: np.ndarray
     kind: np.ndarray
-    word: np.ndarray  # of each halving: which of the words
     slot: np.ndarray
     side: np.ndarray
     odds: np.ndarray
@@ -489,37 +502,76 @@ class _Step:
         return out
 
 
+    def gradient(self, h: np.ndarray, off: np.ndarray, size: int) -> np.ndarray:
+        """Sum by slot (of ``size``) of each halving's ``off`` times its word's row of ``h``. The halvings of words with
+        equally many are taken level by level, so that words' numbers need no gathering."""
+        slots, twice, part = np.empty_like(self.slot), np.empty((len(off), 2), np.float32), np.empty((len(off), 2), np.float32)
+        levels = []
+        for words, places, (k, d) in self.groups:
+            slots[places].reshape(d, k)[:] = self.slot[places].reshape(k, d).T
+            twice[places].reshape(d, k, 2)[:] = off[places].reshape(k, d).T[:, :, None]
+            levels.append((slice(2 * words.start, 2 * words.stop), twice[places].reshape(d, 2 * k), part[places].reshape(d, 2 * k)))
+        out, products = np.zeros((WIDTH // 2, size), np.complex64), part.view(np.complex64)[:, 0]
+        for column, found in zip(_pairs(h), out, strict=True):
+            numbers = column.view(np.float32)
+            for words, own, product in levels:
+                np.multiply(own, numbers[words], out=product)
+            np.add.at(found, slots, products)
+        return _unpaired(out)
+
+
+def _pairs(rows: np.ndarray) -> np.ndarray:
+    """Columns two by two as complex numbers, which are added up at once."""
+    return np.ascontiguousarray(np.ascontiguousarray(rows).view(np.complex64).T)
+
+
+def _unpaired(columns: np.ndarray) -> np.ndarray:
+    """The rows that such columns are of."""
+    return np.ascontiguousarray(columns.reshape(len(columns), -1).T).view(np.float32)
+
+
 class _Paths:
     """Ways through the tree to the words of a block; each different word's is found once."""
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
-        # Frequent words are found by place in a table, so only the rare ones are sorted.
-        frequent = leaves < HEAD
-        few = np.flatnonzero(np.bincount(leaves[frequent], minlength=HEAD))
-        others, which = np.unique(leaves[~frequent], return_inverse=True)
-        different = np.concatenate([few, others])
-        table = np.zeros(HEAD, np.int64)
-        table[few] = np.arange(len(few))
-        self.which = np.empty(len(leaves), np.int64)
-        self.which[frequent] = table[leaves[frequent]]
-        self.which[~frequent] = len(few) + which
-        self.kind, self.depth, self.slot, self.side, self.odds = tree.paths(different)
-        self.begin = np.cumsum(self.depth) - self.depth
+        if tree.kept is None:
+            tree.kept = self._packed(tree, np.arange(min(_KEPT, tree.size)))
+        kept = len(tree.kept[0])
+        rare = np.flatnonzero(leaves >= kept)
+        others, which = np.unique(leaves[rare], return_inverse=True)
+        self.which = leaves.copy()
+        self.which[rare] = kept + which
+        self.kind, self.depth, self.ways = (np.concatenate(x) for x in zip(tree.kept, self._packed(tree, others), strict=True))
+        ends = np.cumsum(self.depth, dtype=np.int64)
+        self.begin = ends - self.depth
+
+    @staticmethod
+    def _packed(tree: Tree, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class and number of halvings of each leaf, and its halvings in 8 bytes each: twice the slot, one more for the
+        upper half, and the log odds."""
+        kind, depth, slot, side, odds = tree.paths(leaves)
+        both = np.empty((len(slot), 2), np.int32)
+        both[:, 0] = slot * np.int32(2) + (side > 0)
+        both[:, 1] = odds.view(np.int32)
+        return kind.astype(np.uint8), depth.astype(np.uint16), both.view(np.int64)[:, 0]
 
     def step(self, own: np.ndarray) -> _Step:
         which = self.which[own]
-        order = np.argsort(self.depth[which].astype(np.uint16), kind="stable")
+        order = np.argsort(self.depth[which], kind="stable")
         own, which = own[order], which[order]
-        depth = self.depth[which]
-        ends = np.cumsum(depth)
-        word = np.repeat(np.arange(len(own)), depth)
-        at = np.arange(len(word)) + (self.begin[which] - (ends - depth)).take(word)
+        depth = self.depth[which].astype(np.int64)
+        at = np.repeat(self.begin[which] - (np.cumsum(depth) - depth), depth)
+        at += np.arange(len(at))
+        ways = self.ways.take(at).view(np.int32).reshape(-1, 2)
         groups, a, b = [], 0, 0
         for d, k in enumerate(np.bincount(depth).tolist()):
             if k and d:
                 groups.append((slice(a, a + k), slice(b, b + k * d), (k, d)))
             a, b = a + k, b + k * d
-        return _Step(own, self.kind[which], word, self.slot.take(at).astype(np.int64), self.side.take(at), self.odds.take(at), groups)
+        side = (ways[:, 0] & 1).astype(np.float32)
+        side *= 2
+        side -= 1
+        return _Step(own, self.kind[which], (ways[:, 0] >> 1).astype(np.int64), side, ways[:, 1].view(np.float32), groups)
 
 
 def _move(parameter: np.ndarray, held: np.ndarray, gradient: np.ndarray) -> None:
@@ -563,7 +615,7 @@ def fit(documents: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
     schema = "row int, learned long, " + ", ".join(f"v{k} float" for k in range(WIDTH))
     for r in range(min(rounds, MASKED)):
         residues = range(r, MASKED, min(rounds, MASKED))
-        summed = documents.select("leaves").mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).toArrow()
+        summed = small_batches(documents).select("leaves").mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(f"v{k}") / F.sum("learned")).alias(f"v{k}") for k in range(WIDTH)]).toArrow()
         if not summed.num_rows:
             break
         rows = np.zeros((size, WIDTH))
@@ -591,7 +643,7 @@ def judge(documents: DataFrame, network: Network, names: list[str]) -> DataFrame
         release()
 
     fields = [T.StructField(n, k()) for n, k in zip(_NEW, (T.LongType, T.DoubleType, T.DoubleType), strict=True)]
-    return documents.mapInArrow(run, T.StructType([*(documents.schema[c] for c in inside), *fields])).toDF(*names, *_NEW)
+    return small_batches(documents).mapInArrow(run, T.StructType([*(documents.schema[c] for c in inside), *fields])).toDF(*names, *_NEW)
 
 
 @dataclass

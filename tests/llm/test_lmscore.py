@@ -197,3 +197,25 @@ def test_a_step_of_training_is_the_gradient():
             around.append(network.log_probabilities(leaves, sizes)[chosen].mean())
         slope = (around[0] - around[1]) / 2e-2
         assert math.isclose(abs(slope), size[at], rel_tol=0.1, abs_tol=1e-3) and np.sign(slope) == np.sign(moved[at])
+
+
+def test_ways_kept_from_block_to_block_are_those_found_anew(monkeypatch):
+    """Also for words beyond those that are kept."""
+    counts = sorted((int(2000 / (i + 1)) + 1 for i in range(900)), reverse=True)
+    leaves = np.random.default_rng(3).integers(0, 900 + lmscore.SHARED, 500)
+    monkeypatch.setattr(lmscore, "_KEPT", 100)
+    some = tree(counts)
+    for _ in range(2):
+        step = lmscore._Paths(some, leaves).step(np.arange(500))
+        kind, depth, slot, side, odds = some.paths(leaves[step.own])
+        assert (step.kind == kind).all() and (step.slot == slot).all() and (step.side == side).all() and (step.odds == odds).all()
+        assert [k for _, _, (k, _) in step.groups] == np.bincount(depth)[1:][np.bincount(depth)[1:] > 0].tolist()
+    assert len(some.kept[0]) == 100
+
+
+def test_classes_far_apart_give_finite_probabilities():
+    network = lmscore.Network.start(tree([9] * 100))
+    network.bias[:50:2], network.bias[1:50:2] = 300, -300
+    found = network.log_probabilities(np.arange(48), np.array([48]))
+    assert np.isfinite(found).all()
+    assert all(abs(found[i] - plain_log_probability(network, np.arange(48), i)) < 1e-2 for i in range(0, 48, 2))
