@@ -45,10 +45,11 @@ ROUNDS = 2
 RATE = 0.1
 #: Words in a step of training. Gradients of repeated rows add up in dense sums, which pays for larger steps.
 BATCH = 8192
-_CHUNK = 8192
+#: Words that are scored at once, and their halvings.
+_CHUNK, _HALVINGS = 8192, 1 << 17
 #: The most frequent words, whose ranks travel with the tasks and so don't meet in the join.
 HEAD = 1 << 15
-_STEPS = [s for s in range(-SIDE, SIDE + 1) if s]
+_STEPS = np.array([[s] for s in range(-SIDE, SIDE + 1) if s])
 _ONES = np.ones(CLASSES, np.float32)
 #: The most frequent words, whose ways through the tree a task keeps from block to block (about 150 bytes each).
 _KEPT = 1 << 17
@@ -229,40 +230,59 @@ class Tree:
     def paths(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Class and number of halvings of each leaf; and of all halvings one after another the slot of the output, the
         side of the leaf (1 for the upper half, else -1), and the log odds of that side by the counts."""
+        kind, depth, ways = self.ways(leaf)
+        half, odds = _unpacked(ways)
+        return kind, depth, half >> 1, ((half & 1) * 2 - 1).astype(np.float32), odds
+
+    def ways(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class and number of halvings of each leaf, and all halvings one after another, in 8 bytes each: twice the slot of
+        the output, one more if the leaf is in the upper half, and the log odds of its side by the counts."""
         item = self.items_of(leaf)
         kind, inside = self.classes_of(item), leaf - self.first[item]
         several, which = np.unique(item, return_inverse=True)
-        slots, sides, odds = self._between(several)
+        between = self._between(several)
         sizes = np.diff(self.first)[several]
-        parts = []
+        depths, ways = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a in range(0, len(leaf), 1 << 12):
             own = which[a : a + (1 << 12)]
-            last = _within(inside[a : a + (1 << 12)], sizes[own], self.first[several[own]])
-            rows = [np.concatenate((x[own], y), axis=1) for x, y in zip((slots, sides, odds), last, strict=True)]
-            real = np.flatnonzero(rows[1])
-            parts.append((np.count_nonzero(rows[1], axis=1), *(r.ravel().take(real) for r in rows)))
-        if not parts:
-            return kind, np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros(0, np.float32)
-        return kind, *(np.concatenate(x) for x in zip(*parts, strict=True))
-
-    def _between(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Slots, sides and log odds of the halvings on the way to each item, a column a level. No halving: side 0."""
+            rows = np.concatenate((between[own], _within(inside[a : a + (1 << 12)], sizes[own], self.first[several[own]])), axis=1)
+            real = rows != _NONE
+            depths.append(np.count_nonzero(real, axis=1))
+            ways.append(rows[real])
+        return kind, np.concatenate(depths), np.concatenate(ways)
+
+    def _between(self, items: np.ndarray) -> np.ndarray:
+        """Halvings (as of :meth:`ways`) on the way to each item, a column a level; _NONE where there is no more."""
         node = np.full(len(items), -1)
         beyond = items >= self.own
         node[beyond] = self.root[self.classes_of(items[beyond]) - (CLASSES - SHARED)]
-        columns = []
+        columns = [np.full(len(items), _NONE)]
         while (node >= 0).any():
             real, safe = node >= 0, np.maximum(node, 0)
             up = items >= self.mid[safe]
-            side = np.where(up, 1, -1) * real
-            columns.append((np.where(safe < NODES, safe, NODES + safe % NODES), side, self.odds[safe] * side))
+            half = np.where(safe < NODES, safe, NODES + safe % NODES) * 2 + up
+            columns.append(np.where(real, _packed(half, np.where(up, self.odds[safe], -self.odds[safe])), _NONE))
             node = np.where(real, np.where(up, self.upper[safe], self.lower[safe]), -1)
-        if not columns:
-            columns = [(np.zeros(len(items), np.int64),) * 3]
-        return tuple(np.stack(c, axis=1).astype(kind) for c, kind in zip(zip(*columns, strict=True), (np.uint16, np.float32, np.float32), strict=True))
+        return np.stack(columns, axis=1)
+
+
+#: No halving.
+_NONE = np.int64(-1)
+
+
+def _packed(half: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    both = np.empty((*half.shape, 2), np.int32)
+    both[..., 0] = half
+    both.view(np.float32)[..., 1] = odds
+    return both.view(np.int64)[..., 0]
+
 
+def _unpacked(ways: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = ways.view(np.int32).reshape(*ways.shape, 2)
+    return both[..., 0], both[..., 1].view(np.float32)
 
-def _within(place: np.ndarray, size: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _within(place: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
     """As :meth:`Tree._between`, from an item of ``size`` leaves of one count to the leaf at ``place`` in it: the bits of the
     place, the highest first, where a leaf with the bit set exists. The item's leaves begin with ``first``."""
     most = int(size.max(initial=1))
@@ -270,15 +290,22 @@ def _within(place: np.ndarray, size: np.ndarray, first: np.ndarray) -> tuple[np.
         place, size = place.astype(np.int32), size.astype(np.int32)
     bits = np.arange((most - 1).bit_length(), dtype=place.dtype)[::-1]
     above = place[:, None] >> bits
-    middle = (above | 1) << bits  # first place of the upper half
+    middle = above | 1
+    middle <<= bits  # first place of the upper half
     more = size[:, None] - middle
-    side = ((above & 1) * 2 - 1).astype(np.float32)
-    side[more <= 0] = 0
-    odds = np.zeros(side.shape, np.float32)
-    uneven = np.nonzero((more > 0) & (more < 1 << bits))
-    odds[uneven] = np.log(more[uneven] / (1 << bits[uneven[1]])) * side[uneven]
-    slot = (middle + (first % NODES).astype(place.dtype)[:, None]) & place.dtype.type(NODES - 1)
-    return (slot + NODES).astype(np.uint16), side, odds
+    above &= 1
+    middle += (first % NODES).astype(place.dtype)[:, None]
+    middle &= place.dtype.type(NODES - 1)
+    middle += place.dtype.type(NODES)
+    middle <<= 1
+    middle += above
+    out = _packed(middle, np.float32(0)).ravel()
+    real = more > 0
+    uneven = np.flatnonzero(real & (more < 1 << bits))
+    odds = np.log(more.ravel()[uneven] / (1 << bits[uneven % len(bits)])) if len(uneven) else np.zeros(0)
+    out[uneven] = _packed(middle.ravel()[uneven], np.where(above.ravel()[uneven] > 0, odds, -odds))
+    out[~real.ravel()] = _NONE
+    return out.reshape(more.shape)
 
 
 @dataclass
@@ -380,14 +407,15 @@ class Network:
         """Inputs with SIDE edges around each text, and where in them each word is."""
         owner = np.repeat(np.arange(len(sizes)), sizes)
         at = np.arange(len(leaves)) + SIDE * (owner + 1)
-        row = np.zeros(len(leaves) + SIDE * (len(sizes) + 1), np.int64)
+        row = np.zeros(len(leaves) + SIDE * (len(sizes) + 1), np.int16)
         row[at] = self.inputs_of(leaves)
         return row, at
 
-    def hidden(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = self.embed[0].take(row[at + _STEPS[0]], axis=0)
-        for place, step in enumerate(_STEPS[1:], 1):
-            total += self.embed[place].take(row[at + step], axis=0)
+    def hidden(self, inputs: np.ndarray) -> np.ndarray:
+        """Of words by their neighbours' inputs (neighbour x word)."""
+        total = self.embed[0].take(inputs[0], axis=0)
+        for place in range(1, len(_STEPS)):
+            total += self.embed[place].take(inputs[place], axis=0)
         total += self.shift
         return np.tanh(total, out=total)
 
@@ -406,19 +434,22 @@ class Network:
         """Of each word (by its leaf), given both its sides."""
         row, at = self.laid_out(leaves, sizes)
         out, paths = np.empty(len(leaves)), _Paths(self.tree, leaves)
-        for a in range(0, len(leaves), _CHUNK):
-            step = paths.step(np.arange(a, min(a + _CHUNK, len(leaves))))
-            h = self.hidden(row, at[step.own])
+        sides = np.stack([-self.nodes, self.nodes], axis=1).reshape(-1, WIDTH)  # of the lower and of the upper half
+        space = np.empty((0, WIDTH), np.float32)
+        for own, depth in paths.alike():
+            h = self.hidden(row[at[own] + _STEPS])
             logits = self.logits(h)[0]
-            found = logits[np.arange(len(step.own)), step.kind].astype(np.float64)
+            found = logits.ravel().take(np.arange(0, logits.size, CLASSES) + paths.kind[paths.which[own]]).astype(np.float64)
             found -= np.log(np.exp(logits, out=logits) @ _ONES)
-            value = step.values(h, self.nodes.take(step.slot, axis=0))
-            # log(1 / (1 + exp(-value))): factors of 1 to 2 are multiplied first, as a word has fewer than 1,000 halvings.
-            rest = np.exp(-np.abs(value)).astype(np.float64) + 1
-            low = np.minimum(value, 0)
-            for words, places, shape in step.groups:
-                found[words] += low[places].reshape(shape).sum(axis=1) - np.log(rest[places].reshape(shape).prod(axis=1))
-            out[step.own] = found
+            if depth:
+                half, odds = paths.levels(own, depth)
+                space = _room(space, half.size)
+                value = np.einsum("dkw,kw->dk", sides.take(half, axis=0, out=space[: half.size].reshape(*half.shape, WIDTH), mode="clip"), h)
+                value += odds
+                # log(1 / (1 + exp(-value))): factors of 1 to 2 are multiplied first, as a word has fewer than 1,000 halvings.
+                found += np.minimum(value, 0).sum(axis=0)
+                found -= np.log((np.exp(-np.abs(value)).astype(np.float64) + 1).prod(axis=0))
+            out[own] = found
         return out
 
     def learn(self, leaves: np.ndarray, sizes: np.ndarray, memory: list[np.ndarray], residues: Iterable[int]) -> int:
@@ -429,24 +460,31 @@ class Network:
         residue = ((place + np.repeat(sizes, sizes)) % MASKED).astype(np.int8)
         targets = np.flatnonzero(np.isin(residue, list(residues)))
         residue, at = residue[targets], at[targets]
-        paths, learned = _Paths(self.tree, leaves[targets]), 0
+        paths, learned, space = _Paths(self.tree, leaves[targets]), 0, np.empty((0, WIDTH), np.float32)
         for now in residues:
             chosen = np.flatnonzero(residue == now)
             learned += len(chosen)
             for a in range(0, len(chosen), BATCH):
                 step = paths.step(chosen[a : a + BATCH])
                 here, count = at[step.own], len(step.own)
-                h = self.hidden(row, here)
+                inputs = row[here + _STEPS].astype(np.int64)
+                h = self.hidden(inputs)
                 wrong, ones = self.logits(h)
                 np.exp(wrong, out=wrong)
                 wrong *= (np.float32(1 / count) / (wrong @ _ONES))[:, None]
-                wrong[np.arange(count), step.kind] -= np.float32(1 / count)
+                wrong.ravel()[np.arange(0, wrong.size, CLASSES) + step.kind] -= np.float32(1 / count)
                 back = wrong @ self.layer.T
                 outer = ones.T @ wrong
-                nodes = self.nodes.take(step.slot, axis=0)
+                space = _room(space, len(step.slot))
+                nodes = self.nodes.take(step.slot, axis=0, out=space[: len(step.slot)], mode="clip")
                 value = step.values(h, nodes)
-                off = np.exp(-np.abs(value))
-                off = np.where(value >= 0, off, np.float32(1)) / (1 + off)
+                # -side / (1 + exp(value)) / count
+                off = np.abs(value)
+                np.negative(off, out=off)
+                np.exp(off, out=off)
+                below = off + 1
+                np.copyto(off, np.float32(1), where=value < 0)
+                off /= below
                 off *= step.side
                 off *= np.float32(-1 / count)
                 for words, places, (k, d) in step.groups:
@@ -458,8 +496,7 @@ class Network:
                 back *= 1 - h * h
                 _move(self.shift, memory[3], back.sum(axis=0))
                 sums, columns = np.zeros((WIDTH // 2, len(_STEPS), INPUTS), np.complex64), _pairs(back)
-                for p, offset in enumerate(_STEPS):
-                    index = row[here + offset]
+                for p, index in enumerate(inputs):
                     for column, found in zip(columns, sums, strict=True):
                         np.add.at(found[p], index, column)
                 _move(self.embed, memory[0], _unpaired(sums).reshape(self.embed.shape))
@@ -481,6 +518,11 @@ class Network:
             at += old.size
 
 
+def _room(space: np.ndarray, rows: int) -> np.ndarray:
+    """Room for so many rows: ``space``, if it has it."""
+    return space if len(space) >= rows else np.empty((rows * 5 // 4, WIDTH), np.float32)
+
+
 @dataclass
 class _Step:
     """Some words, those with equally many halvings together, and all their halvings one after another."""
@@ -501,7 +543,6 @@ class _Step:
         out += self.odds
         return out
 
-
     def gradient(self, h: np.ndarray, off: np.ndarray, size: int) -> np.ndarray:
         """Sum by slot (of ``size``) of each halving's ``off`` times its word's row of ``h``. The halvings of words with
         equally many are taken level by level, so that words' numbers need no gathering."""
@@ -509,7 +550,9 @@ class _Step:
         levels = []
         for words, places, (k, d) in self.groups:
             slots[places].reshape(d, k)[:] = self.slot[places].reshape(k, d).T
-            twice[places].reshape(d, k, 2)[:] = off[places].reshape(k, d).T[:, :, None]
+            level = off[places].reshape(k, d).T
+            twice[places, 0].reshape(d, k)[:] = level
+            twice[places, 1].reshape(d, k)[:] = level
             levels.append((slice(2 * words.start, 2 * words.stop), twice[places].reshape(d, 2 * k), part[places].reshape(d, 2 * k)))
         out, products = np.zeros((WIDTH // 2, size), np.complex64), part.view(np.complex64)[:, 0]
         for column, found in zip(_pairs(h), out, strict=True):
@@ -535,25 +578,35 @@ class _Paths:
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
         if tree.kept is None:
-            tree.kept = self._packed(tree, np.arange(min(_KEPT, tree.size)))
+            tree.kept = self._found(tree, np.arange(min(_KEPT, tree.size)))
         kept = len(tree.kept[0])
         rare = np.flatnonzero(leaves >= kept)
         others, which = np.unique(leaves[rare], return_inverse=True)
         self.which = leaves.copy()
         self.which[rare] = kept + which
-        self.kind, self.depth, self.ways = (np.concatenate(x) for x in zip(tree.kept, self._packed(tree, others), strict=True))
+        self.kind, self.depth, self.ways = (np.concatenate(x) for x in zip(tree.kept, self._found(tree, others), strict=True))
         ends = np.cumsum(self.depth, dtype=np.int64)
         self.begin = ends - self.depth
 
     @staticmethod
-    def _packed(tree: Tree, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class and number of halvings of each leaf, and its halvings in 8 bytes each: twice the slot, one more for the
-        upper half, and the log odds."""
-        kind, depth, slot, side, odds = tree.paths(leaves)
-        both = np.empty((len(slot), 2), np.int32)
-        both[:, 0] = slot * np.int32(2) + (side > 0)
-        both[:, 1] = odds.view(np.int32)
-        return kind.astype(np.uint8), depth.astype(np.uint16), both.view(np.int64)[:, 0]
+    def _found(tree: Tree, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        kind, depth, ways = tree.ways(leaves)
+        return kind.astype(np.uint8), depth.astype(np.uint16), ways
+
+    def alike(self) -> Iterator[tuple[np.ndarray, int]]:
+        """All words, some with equally many halvings at a time, and how many these are."""
+        depth = self.depth[self.which]
+        order, a = np.argsort(depth, kind="stable"), 0
+        for d, k in enumerate(np.bincount(depth).tolist()):
+            most = min(_CHUNK, max(1, _HALVINGS // max(1, d)))
+            for b in range(a, a + k, most):
+                yield order[b : min(b + most, a + k)], d
+            a += k
+
+    def levels(self, own: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of words with ``depth`` halvings each, halving by halving (halving x word): twice the slot, one more for the upper
+        half; and the log odds."""
+        return _unpacked(self.ways.take(self.begin[self.which[own]] + np.arange(depth)[:, None]))
 
     def step(self, own: np.ndarray) -> _Step:
         which = self.which[own]
@@ -562,16 +615,16 @@ class _Paths:
         depth = self.depth[which].astype(np.int64)
         at = np.repeat(self.begin[which] - (np.cumsum(depth) - depth), depth)
         at += np.arange(len(at))
-        ways = self.ways.take(at).view(np.int32).reshape(-1, 2)
+        half, odds = _unpacked(self.ways.take(at))
         groups, a, b = [], 0, 0
         for d, k in enumerate(np.bincount(depth).tolist()):
             if k and d:
                 groups.append((slice(a, a + k), slice(b, b + k * d), (k, d)))
             a, b = a + k, b + k * d
-        side = (ways[:, 0] & 1).astype(np.float32)
+        side = (half & 1).astype(np.float32)
         side *= 2
         side -= 1
-        return _Step(own, self.kind[which], (ways[:, 0] >> 1).astype(np.int64), side, ways[:, 1].view(np.float32), groups)
+        return _Step(own, self.kind[which], (half >> 1).astype(np.int64), side, odds, groups)
 
 
 def _move(parameter: np.ndarray, held: np.ndarray, gradient: np.ndarray) -> None:

@@ -219,3 +219,26 @@ def test_classes_far_apart_give_finite_probabilities():
     found = network.log_probabilities(np.arange(48), np.array([48]))
     assert np.isfinite(found).all()
     assert all(abs(found[i] - plain_log_probability(network, np.arange(48), i)) < 1e-2 for i in range(0, 48, 2))
+
+
+def test_words_are_scored_once_with_those_of_equally_many_halvings(monkeypatch):
+    """Some at a time, of bounded size; and the sums stay those of a plain loop, whatever comes together."""
+    monkeypatch.setattr(lmscore, "_CHUNK", 50)
+    monkeypatch.setattr(lmscore, "_HALVINGS", 200)
+    network = lmscore.Network.start(tree(sorted((int(2000 / (i + 1)) + 1 for i in range(900)), reverse=True)))
+    rng = np.random.default_rng(6)
+    network.put(rng.standard_normal(network.rows().shape) * 0.3)
+    leaves = np.concatenate([rng.integers(0, 900 + lmscore.SHARED, 300), rng.integers(0, 60, 300)])
+    paths, seen = lmscore._Paths(network.tree, leaves), []
+    kind, depth, slot, side, odds = network.tree.paths(leaves)
+    ends = np.cumsum(depth)
+    for own, d in paths.alike():
+        assert 0 < len(own) <= 50 and len(own) * d <= 200 and (depth[own] == d).all()
+        half, found = paths.levels(own, d)
+        for k, i in enumerate(own):
+            mine = slice(ends[i] - d, ends[i])
+            assert (half[:, k] == 2 * slot[mine] + (side[mine] > 0)).all() and (found[:, k] == odds[mine]).all()
+        seen += own.tolist()
+    assert sorted(seen) == list(range(600)) and (depth == 0).any() and len(set(depth)) > 5
+    scored = network.log_probabilities(leaves, np.array([600]))
+    assert np.allclose(scored, [plain_log_probability(network, leaves, i) for i in range(600)], atol=1e-4)
